@@ -29,6 +29,20 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .token_files import token_file_digests
+
+    return token_file_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), width=3, distance=3)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_dedup
 
@@ -43,7 +57,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_chat_formatting, op9_exact_dedup, op10_decontamination)}
+    return {f.__name__: f for f in (op3_chat_formatting, op6_token_files, op7_simhash, op9_exact_dedup, op10_decontamination)}
 
 
 _ESC = r"replace(replace(replace({}, '\', '\s'), '<', '\l'), '>', '\g')"
