@@ -29,6 +29,14 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .unigram import encode
+
+    return encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), digest=True)
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -57,7 +65,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_chat_formatting, op6_token_files, op7_simhash, op9_exact_dedup, op10_decontamination)}
+    return {f.__name__: f for f in (op3_chat_formatting, op5_sentencepiece, op6_token_files, op7_simhash, op9_exact_dedup, op10_decontamination)}
 
 
 _ESC = r"replace(replace(replace({}, '\', '\s'), '<', '\l'), '>', '\g')"
