@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from ._shared import table, text_or_empty
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find
+
+    return find(table(spark, sf_dir, "documents"))
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat_format import format_chats, loss_text, read_back
 
@@ -29,6 +35,18 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import identify_documents
+
+    return identify_documents(table(spark, sf_dir, "documents")).select("doc_id", "lang", F.round("posterior", 6).alias("posterior"), "text_lang", "accepted")
+
+
+def llm_language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import identify_pages
+
+    return identify_pages(table(spark, sf_dir, "pages")).select("page_id", "lang", F.round("posterior", 6).alias("posterior"), "text_lang", "accepted")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -65,7 +83,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_chat_formatting, op5_sentencepiece, op6_token_files, op7_simhash, op9_exact_dedup, op10_decontamination)}
+    return {f.__name__: f for f in (op1_pii, op3_chat_formatting, op4_language_id, llm_language_id_pages, op5_sentencepiece, op6_token_files, op7_simhash, op9_exact_dedup, op10_decontamination)}
 
 
 _ESC = r"replace(replace(replace({}, '\', '\s'), '<', '\l'), '>', '\g')"
