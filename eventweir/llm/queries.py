@@ -16,6 +16,12 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find(table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_tree import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), length=35)
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat_format import format_chats, loss_text, read_back
 
@@ -69,6 +75,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, distance=3)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_sort import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), length=200)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_dedup
 
@@ -83,7 +95,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op3_chat_formatting, op4_language_id, llm_language_id_pages, op5_sentencepiece, op6_token_files, op7_simhash, op9_exact_dedup, op10_decontamination)}
+    return {f.__name__: f for f in (op1_pii, op2_substring_dedup, op3_chat_formatting, op4_language_id, llm_language_id_pages, op5_sentencepiece, op6_token_files, op7_simhash, op8_suffix_dedup, op9_exact_dedup, op10_decontamination)}
 
 
 _ESC = r"replace(replace(replace({}, '\', '\s'), '<', '\l'), '>', '\g')"
