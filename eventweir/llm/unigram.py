@@ -272,7 +272,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
         for rows, text in pieces(batches, "text", 1 << 20):
             texts = as_bytes(text)
             ids = m.encode_with(memo, texts)
-            said = pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()) if digest else pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32()))
+            said = pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()) if digest else pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in ids])]), pa.int32()), pa.array(np.concatenate([*ids, np.zeros(0, m.width)]).astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
                 [
                     rows.column(0), pa.array([len(x) for x in ids], pa.int64()), said,
