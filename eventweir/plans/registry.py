@@ -97,8 +97,8 @@ d{tag} AS (SELECT round(coalesce(max(abs(ca::DOUBLE / nl - cb::DOUBLE / nr)), 0)
 
 
 def l1_sql(values: str, key: str, left: str, right: str, tag: str) -> str:
-    return f"""c{tag} AS (SELECT {key}, sum((population = '{left}')::INT)::DOUBLE a, sum((population = '{right}')::INT)::DOUBLE b FROM ({values}) WHERE population IN ('{left}', '{right}') GROUP BY {key}),
-d{tag} AS (SELECT round(sum(abs(a / (SELECT sum(a) FROM c{tag}) - b / (SELECT sum(b) FROM c{tag}))), 6) AS l1 FROM c{tag})"""
+    return f"""c{tag} AS (SELECT {key}, sum((population = '{left}')::INT)::DOUBLE fl, sum((population = '{right}')::INT)::DOUBLE fr FROM ({values}) WHERE population IN ('{left}', '{right}') GROUP BY {key}),
+d{tag} AS (SELECT round(sum(abs(fl / (SELECT sum(fl) FROM c{tag}) - fr / (SELECT sum(fr) FROM c{tag}))), 6) AS l1 FROM c{tag})"""
 
 
 GAPS_P = "SELECT population, ab / 1e6 AS x FROM y WHERE ab > 0"
