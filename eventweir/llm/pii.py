@@ -149,7 +149,7 @@ def context(words: list[str]) -> list[list[str]]:
     return out
 
 
-def labelled_table(n: int = 600, seed: int = 11) -> list[list[tuple[str, str]]]:
+def labelled_table(n: int = 700, seed: int = 11) -> list[list[tuple[str, str]]]:
     """n lines of (word, label), written by rule: running words, personal data among them, and numbers that are none."""
     r = random.Random(seed)
     word = lambda: "".join(r.choice("bcdfglmnprst") + r.choice("aeiou") for _ in range(r.randint(1, 4)))
@@ -172,14 +172,14 @@ def labelled_table(n: int = 600, seed: int = 11) -> list[list[tuple[str, str]]]:
         lambda: [(f"{word()}@{word()}.com", "O")],
         lambda: [(hexes(r.choice([6, 8, 12])), "O")],
     ]
-    return [text() + r.choice(made)() + text() for _ in range(n)]
+    return [text() + [x for _ in range(r.choice((1, 1, 2, 3))) for x in r.choice(made)() + (text() if r.random() < 0.6 else [])] + text() for _ in range(n)]
 
 
 # ---- the field
 
 
 class Field:
-    def __init__(self, lines: list[list[tuple[str, str]]], rounds: int = 250, l2: float = 2e-3, rate: float = 0.2):
+    def __init__(self, lines: list[list[tuple[str, str]]], rounds: int = 180, l2: float = 1e-4, rate: float = 0.2):
         feats = [context([w for w, _ in x]) for x in lines]
         self.index = {f: i + 1 for i, f in enumerate(sorted({f for x in feats for w in x for f in w}))}  # 0 is the bias
         k, n = len(LABELS), max(map(len, lines))
@@ -196,7 +196,7 @@ class Field:
             g2w, g2t = 0.9 * g2w + 0.1 * gw**2, 0.9 * g2t + 0.1 * gt**2
             self.w -= rate * gw / (np.sqrt(g2w) + 1e-4)
             self.t -= rate * gt / (np.sqrt(g2t) + 1e-4)
-            rate *= 0.99
+            rate *= 0.985
         # What follows must go on from what it continues: other moves are barred.
         for a, la in enumerate(LABELS):
             for b, lb in enumerate(LABELS):
