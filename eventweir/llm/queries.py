@@ -108,6 +108,25 @@ g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text ||
              coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
              sum(length({_ESC.format('role')}) + length({_ESC.format('text')}) + 21) AS n FROM t GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, n::BIGINT AS formatted_chars FROM g""",
+    "op2_substring_dedup": r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+x AS (SELECT r, s, md5(array_to_string(w[s + 1:s + 35], ' ')) AS h FROM (SELECT r, w, unnest(range(0, len(w) - 34)) AS s FROM d)),
+t AS (SELECT r, s FROM (SELECT r, s, count(*) OVER (PARTITION BY h) AS n FROM x) WHERE n > 1),
+i AS (SELECT r, s, sum(new) OVER (PARTITION BY r ORDER BY s) AS k FROM (SELECT r, s, CASE WHEN s - lag(s) OVER (PARTITION BY r ORDER BY s) <= 35 THEN 0 ELSE 1 END AS new FROM t)),
+g AS (SELECT r, min(s) AS a, max(s) + 35 AS b FROM i GROUP BY r, k),
+p AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM g),
+c AS (SELECT r, sum(b - a) AS gone, max(b) AS last, list(before ORDER BY a) AS froms, list(a ORDER BY a) AS tos FROM p GROUP BY r),
+k AS (SELECT d.doc_id, len(w) AS n, coalesce(gone, 0) AS gone, CASE WHEN gone IS NULL THEN w ELSE flatten(list_transform(range(1, len(froms) + 1), lambda q: w[froms[q] + 1:tos[q]])) || w[last + 1:] END AS kept FROM d LEFT JOIN c USING (r))
+SELECT doc_id, n::BIGINT AS n_words, gone::BIGINT AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k""",
+    "op8_suffix_dedup": r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, hex(encode(coalesce(text, ''))) AS w FROM documents),
+x AS (SELECT r, s, md5(substr(w, 2 * s + 1, 400)) AS h FROM (SELECT r, w, unnest(range(0, length(w) // 2 - 199)) AS s FROM d)),
+t AS (SELECT r, s FROM (SELECT r, s, count(*) OVER (PARTITION BY h) AS n FROM x) WHERE n > 1),
+i AS (SELECT r, s, sum(new) OVER (PARTITION BY r ORDER BY s) AS k FROM (SELECT r, s, CASE WHEN s - lag(s) OVER (PARTITION BY r ORDER BY s) <= 200 THEN 0 ELSE 1 END AS new FROM t)),
+g AS (SELECT r, min(s) AS a, max(s) + 200 AS b FROM i GROUP BY r, k),
+p AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM g),
+c AS (SELECT p.r, count(*) AS spans, sum(b - a) AS gone, string_agg(substr(w, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || any_value(substr(w, 2 * last + 1)) AS kept FROM p JOIN (SELECT r, max(b) AS last FROM p GROUP BY r) USING (r) JOIN d USING (r) GROUP BY p.r)
+SELECT doc_id, (length(w) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, w))) AS kept_sha256 FROM d LEFT JOIN c USING (r)""",
     "op9_exact_dedup": """
 WITH t AS (SELECT doc_id, sha256(coalesce(text, '')) AS h FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, h AS text_sha256
