@@ -280,9 +280,9 @@ def history_state(spark, d):
     return X.history_state(S.events(spark, d), 7_200_000_000)
 
 
-@query(f"WITH {O_SQL}, k AS (SELECT stream_id, us - lag(us) OVER (PARTITION BY stream_id ORDER BY us, event_type) AS gap FROM e) SELECT stream_id, min(gap) AS min_gap_us, count(*) AS n FROM k GROUP BY stream_id")
+@query(f"WITH {O_SQL}, k AS (SELECT stream_id, us - lag(us) OVER (PARTITION BY stream_id ORDER BY us, event_type) AS gap FROM e) SELECT stream_id, coalesce(min(gap), -1) AS min_gap_us, count(*) AS n FROM k GROUP BY stream_id")
 def min_gap(spark, d):
-    return X.min_gaps(S.orders(spark, d))
+    return X.min_gaps(S.orders(spark, d)).fillna(-1, ["min_gap_us"])  # a single event has no gap
 
 
 @query(f"WITH {G_SQL} SELECT stream_id, round(avg(is_background::INT), 6) AS background_ratio FROM g GROUP BY stream_id")
