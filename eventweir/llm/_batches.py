@@ -42,9 +42,10 @@ class Memo(dict):
         self.compute, self.most = compute, most
 
     def learn(self, words: Iterable) -> None:
-        new = [w for w in set(words) if w not in self]
+        words = set(words)
+        new = list(words.difference(self))
         if len(self) + len(new) > self.most:
             self.clear()
-            new = list(set(words))
+            new = list(words)
         if new:
             self.update(zip(new, self.compute(new)))

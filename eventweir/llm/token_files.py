@@ -14,7 +14,9 @@ from __future__ import annotations
 import json
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ from ._batches import Memo, as_bytes, pieces
 from ._shared import scratch_path
 
 #: Entries of each worker's memo of words; more frequent words come back after it was emptied, so only time depends on it.
-MEMO_WORDS = 600_000
+MEMO_WORDS = 1_200_000
 BLOCK_IDS = 1 << 19
 
 LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
@@ -83,19 +85,28 @@ class WordEncoder:
         steps = [*(spec["normalizer"] or {}).get("normalizers", []), *(spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
         self.known = [s["type"] for s in steps] == self.KNOWN
         self.cut = regex.compile(steps[3]["pattern"]["Regex"]).findall if self.known else None
-        self.added = tuple(t["content"][:2] for t in spec["added_tokens"])
+        self.added = sorted({t["content"][:2] for t in spec["added_tokens"]})
         self.symbols = byte_symbols()
-        self.width = "<u2" if self.tok.get_vocab_size() + 1 < 1 << 16 else "<u4"
+        self.width, self.code = ("<u2", "H") if self.tok.get_vocab_size() + 1 < 1 << 16 else ("<u4", "I")
         self.parts: dict[str, bytes] = {}
 
-    def part(self, p: str) -> bytes:
-        found = self.parts.get(p)
-        if found is None:
-            if len(self.parts) >= MEMO_WORDS:
-                self.parts.clear()
-            ids = [t.id for t in self.tok.model.tokenize(p.encode().decode("latin-1").translate(self.symbols))]
-            found = self.parts[p] = np.array(ids, self.width).tobytes()
-        return found
+    def split(self, w: str) -> list[str]:
+        """The pieces of a word; letters alone, or with a full stop or comma behind them, needn't go through the pattern."""
+        w = w.lower() if w.isascii() else "".join(c.lower() for c in unicodedata.normalize("NFC", w))
+        if w.isalpha():
+            return [w]
+        if w[-1] in ".," and w[:-1].isalpha():
+            return [w[:-1], w[-1]]
+        return self.cut(w)
+
+    def learn(self, parts: set[str]) -> None:
+        new = parts.difference(self.parts)
+        if len(self.parts) + len(new) > MEMO_WORDS:
+            self.parts.clear()
+            new = parts
+        tokenize, symbols, code, known = self.tok.model.tokenize, self.symbols, self.code, self.parts
+        for p in new:
+            known[p] = array(code, [t.id for t in tokenize(p.encode().decode("latin-1").translate(symbols))]).tobytes()
 
     def whole(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.width).tobytes() for e in self.tok.encode_batch(words, add_special_tokens=False)]
@@ -104,10 +115,13 @@ class WordEncoder:
         words = [w.decode() for w in words]
         if not self.known:
             return self.whole(words)
-        odd = [i for i, w in enumerate(words) if any(a in w for a in self.added)]
-        out = [b"".join(map(self.part, self.cut("".join(c.lower() for c in unicodedata.normalize("NFC", w)) if not w.isascii() else w.lower()))) for w in words]
-        for i, ids in zip(odd, self.whole([words[i] for i in odd])) if odd else ():
-            out[i] = ids
+        cut = [self.split(w) for w in words]
+        self.learn(set(chain.from_iterable(cut)))
+        ids = self.parts
+        out = [ids[x[0]] if len(x) == 1 else b"".join([ids[p] for p in x]) for x in cut]
+        odd = [i for i, w in enumerate(words) if any([a in w for a in self.added])] if any(a in "".join(words) for a in self.added) else []
+        for i, x in zip(odd, self.whole([words[i] for i in odd])) if odd else ():
+            out[i] = x
         return out
 
 
@@ -124,59 +138,56 @@ def encoder(path: str) -> tuple[WordEncoder, Memo]:
 # ---- the passes
 
 
-def id_counts(docs: DataFrame, text_col: str, tokenizer: str, end_id: int | None) -> np.ndarray:
-    """Occurrences of each id in the whole corpus; the driver gets one row for each id of the vocabulary."""
+def tokenised(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
+    """(_part, doc_id, ids, id, n): the ids of each row of docs (_part, doc_id, text) as bytes, and rows (id, n) that count ids by task."""
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, memo = encoder(tokenizer)
-        total = np.zeros(0, np.int64)
-        for _, text in pieces(batches, text_col):
+        end = np.array([] if end_id is None else [end_id], enc.width).tobytes()
+        total = np.zeros(1 << 16, np.int64)
+        for rows, text in pieces(batches, "text"):
             texts = [t.split() for t in as_bytes(text)]
-            memo.learn(w for t in texts for w in t)
-            got = np.bincount(np.frombuffer(b"".join(memo[w] for t in texts for w in t), enc.width))
-            if end_id is not None:
-                got = np.pad(got, (0, max(0, end_id + 1 - len(got))))
-                got[end_id] += len(texts)
-            if len(got) > len(total):
-                total = np.pad(total, (0, len(got) - len(total)))
+            memo.learn(chain.from_iterable(texts))
+            ids = [b"".join([*map(memo.__getitem__, t), end]) for t in texts]
+            got = np.bincount(np.frombuffer(b"".join(ids), enc.width))
+            total = np.pad(total, (0, max(0, len(got) - len(total))))
             total[: len(got)] += got
-        ids = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], ["id", "n"])
+            none = pa.nulls(len(ids), pa.int64())
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(ids, pa.binary()), none, none], ["_part", "doc_id", "ids", "id", "n"])
+        i = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(i), pa.int32()), pa.nulls(len(i), pa.int64()), pa.nulls(len(i), pa.binary()), pa.array(i, pa.int64()), pa.array(total[i])], ["_part", "doc_id", "ids", "id", "n"])
 
-    rows = docs.select(docs[text_col].cast("string").alias(text_col)).mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(int(rows["id"].max()) + 1 if len(rows) else 1, np.int64)
-    out[rows["id"].to_numpy()] = rows["n"].to_numpy()
-    return out
+    return docs.mapInArrow(run, "_part int, doc_id long, ids binary, id long, n long")
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = None, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> None:
     """Writes path/blocks and path/ranks. Documents follow id_col, nulls first; rows with the same id follow their texts' ids.
 
-    A null text is empty; an empty table gives empty tables. Other columns aren't looked at.
+    A null text is empty; an empty table gives empty tables. Other columns aren't looked at. Texts are tokenised once: their ids wait
+    in the shared folder until the whole corpus is counted.
     """
     spark = docs.sparkSession
     own = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    counts = id_counts(own, "text", tokenizer, end_id)
-    by_rank = np.argsort(-counts, kind="stable")
-    rank = np.empty(len(by_rank), np.int64)
-    rank[by_rank] = np.arange(len(by_rank))
-    spark.createDataFrame([(int(r), int(i)) for r, i in enumerate(by_rank) if counts[i]], "rank long, id long").coalesce(1).write.parquet(f"{path}/ranks")
     parts = parts or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     bounds = own.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5], 10_000).alias("b")).first()["b"] or []
     bounds = ",".join(f"{b}L" for b in sorted(set(bounds)))
     part = F.coalesce(F.expr(f"aggregate(array({bounds}), 0, (n, b) -> n + if(doc_id >= b, 1, 0))"), F.lit(0)) if bounds else F.lit(0)
-    width = "<u2" if len(rank) < 1 << 16 else "<u4"
+    waiting = scratch_path(spark, "token-ids")
+    tokenised(own.select(part.cast("int").alias("_part"), "doc_id", "text"), tokenizer, end_id).write.option("compression", "zstd").parquet(waiting)
+    waiting = spark.read.parquet(waiting)
+    counted = waiting.where("id is not null").groupBy("id").agg(F.sum("n").alias("n")).collect()  # at most one row for each id of the vocabulary
+    by_rank = sorted(counted, key=lambda r: (-r["n"], r["id"]))
+    spark.createDataFrame([(i, r["id"]) for i, r in enumerate(by_rank)], "rank long, id long").coalesce(1).write.parquet(f"{path}/ranks")
+    rank = np.zeros(max((r["id"] for r in counted), default=0) + 1, np.int64)
+    for i, r in enumerate(by_rank):
+        rank[r["id"]] = i
+    width = encoder(tokenizer)[0].width
 
     def to_ranks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, memo = encoder(tokenizer)
-        end = np.array([] if end_id is None else [end_id], enc.width).tobytes()
         table = rank.astype(width)
-        for rows, text in pieces(batches, "text"):
-            texts = [t.split() for t in as_bytes(text)]
-            memo.learn(w for t in texts for w in t)
-            ids = [b"".join([*map(memo.__getitem__, t), end]) for t in texts]
-            coded = [table[np.frombuffer(x, enc.width)].tobytes() for x in ids]
-            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(coded, pa.binary())], ["_part", "doc_id", "r"])
+        for b in batches:
+            coded = [table[np.frombuffer(x, width)].tobytes() for x in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(coded, pa.binary())], ["_part", "doc_id", "r"])
 
     def to_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc_ids, ranks, held, last, block = [], [], 0, None, 0
@@ -199,12 +210,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int |
             yield flush()
 
     (
-        own.select(part.cast("int").alias("_part"), "doc_id", "text")
+        waiting.where("id is null").select("_part", "doc_id", "ids")
         .mapInArrow(to_ranks, "_part int, doc_id long, r binary")
         .repartitionById(parts, "_part")
         .sortWithinPartitions("_part", F.asc_nulls_first("doc_id"), "r")
         .mapInArrow(to_blocks, "part int, block int, doc_ids array<long>, counts array<long>, control binary, data binary")
-        .write.parquet(f"{path}/blocks")
+        .write.option("compression", "zstd").parquet(f"{path}/blocks")
     )
 
 

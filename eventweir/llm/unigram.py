@@ -20,6 +20,7 @@ import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -246,7 +247,7 @@ class Unigram:
 
     def encode_with(self, memo: Memo, texts: list[bytes]) -> list[np.ndarray]:
         units = [UNITS(b" " + t) if t else [] for t in texts]
-        memo.learn(u for x in units for u in x)
+        memo.learn(chain.from_iterable(units))
         return [np.frombuffer(b"".join(map(memo.__getitem__, x)), self.width) for x in units]
 
     def decode(self, ids: np.ndarray) -> bytes:
