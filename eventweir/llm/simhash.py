@@ -231,6 +231,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 3, id_col:
     links = fingerprint_links(distinct.where("rep is not null"), distance, most)
     roots = components(links)
     of_fp = distinct.join(roots, distinct["rep"] == roots["node"], "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
+    of_fp = materialise(of_fp, "components")  # so that the rows of a hot fingerprint can be split in the join
     return prints.join(of_fp, "fp").select(F.col("doc_id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
