@@ -43,7 +43,7 @@ class Memo(dict):
 
     def learn(self, words: Iterable) -> None:
         words = set(words)
-        new = list(words.difference(self))
+        new = [w for w in words if w not in self]
         if len(self) + len(new) > self.most:
             self.clear()
             new = list(words)

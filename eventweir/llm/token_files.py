@@ -92,7 +92,8 @@ class WordEncoder:
 
     def split(self, w: str) -> list[str]:
         """The pieces of a word; letters alone, or with a full stop or comma behind them, needn't go through the pattern."""
-        w = w.lower() if w.isascii() else "".join(c.lower() for c in unicodedata.normalize("NFC", w))
+        w = w if w.isascii() else unicodedata.normalize("NFC", w)
+        w = w.lower() if "Σ" not in w else "".join([c.lower() for c in w])  # the library lowers each character by itself
         if w.isalpha():
             return [w]
         if w[-1] in ".," and w[:-1].isalpha():
