@@ -126,8 +126,11 @@ def values_of(text: pa.Array, words: bool) -> tuple[np.ndarray, np.ndarray]:
 PACK = 12  # bits of each of the two offsets beside the place
 
 
-def find_ranges(keyed: DataFrame, words: bool, length: int, gram: int, most: int, solve: Callable) -> DataFrame:
-    """(_id, _th, _ranges): the repeated windows of each text of keyed (_id, _th, text), as ranges of starts."""
+def find_ranges(keyed: DataFrame, words: bool, length: int, gram: int, most: int, solve: Callable, keep_samples: bool = True) -> DataFrame:
+    """(_id, _th, _ranges): the repeated windows of each text of keyed (_id, _th, text), as ranges of starts.
+
+    keep_samples writes the sampled suffixes to the shared folder; without it they are sampled again for the join, which saves that disk.
+    """
 
     def sample(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, text in pieces(batches, "text", 1 << 20):
@@ -186,8 +189,11 @@ def find_ranges(keyed: DataFrame, words: bool, length: int, gram: int, most: int
             [pa.array(ids[member]), pa.array(th[member]), pa.array(at[member] - hi), pa.array(at[member] - lo), pa.array([d or b"" for d in digest], pa.binary()), pa.array(alone)], ["_id", "_th", "a", "b", "digest", "alone"]
         )
 
-    spots = materialise(keyed.mapInArrow(sample, "g long, _id long, _th long, p long"), "sampled-suffixes")
+    spots = keyed.mapInArrow(sample, "g long, _id long, _th long, p long")
+    if keep_samples:
+        spots = materialise(spots, "sampled-suffixes")
     shared = spots.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("g", F.ceil(F.col("n") / most).cast("long").alias("parts"))
+    shared = materialise(shared, "shared-grams")  # so that both sides of the join are dealt out for it, and a hot gram's side can be split
     found = spots.join(shared, "g").groupBy("_id", "_th").agg(F.collect_list(F.struct("g", "p", "parts")).alias("_found"))
     near = keyed.join(found, ["_id", "_th"]).mapInArrow(contexts, "g long, salt long, parts long, _id long, _th long, p long, context binary")
     told = near.repartition("g", "salt").sortWithinPartitions("g", "salt").mapInArrow(decide, "_id long, _th long, a long, b long, digest binary, alone boolean")

@@ -139,7 +139,7 @@ def solver(length: int):
     return solve
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 48, most: int = 4096, id_col: str = "doc_id", text_col: str = "text", texts: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 64, most: int = 4096, id_col: str = "doc_id", text_col: str = "text", texts: bool = False) -> DataFrame:
     """One row per input row: id_col, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, or kept (binary) if texts.
 
     A byte of the UTF-8 text goes if it lies in a string of ``length`` bytes that starts anywhere else too, in the same text or
@@ -147,7 +147,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 48, most: int
     columns aren't looked at.
     """
     keyed = keyed_texts(docs, id_col, text_col)
-    ranges = find_ranges(keyed, False, length, gram, most, solver(length))
+    ranges = find_ranges(keyed, False, length, gram, most, solver(length), keep_samples=False)
 
     def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, text in pieces(batches, "text"):
