@@ -56,17 +56,18 @@ def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) of each row: whole texts, A-Z lower-cased, words between ASCII white space. A null text has no words."""
+def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text", also: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, the long columns ``also``, fp) of each row: whole texts, A-Z lower-cased, words between ASCII white space. A null text has no words."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, text in pieces(batches, "text", 1 << 20):
             each = [shingle_hashes(t, width) for t in as_bytes(text)]
             counts = np.fromiter(map(len, each), np.int64, len(each))
             flat = np.array([h for x in each for h in x], U)
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(majority(flat, counts).view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in ("doc_id", *also)), pa.array(majority(flat, counts).view(np.int64))], ["doc_id", *also, "fp"])
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    given = docs.select(docs[id_col].cast("long").alias("doc_id"), *also, docs[text_col].cast("string").alias("text"))
+    return given.mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", *also, "fp")))
 
 
 # ---- candidates
@@ -220,22 +221,46 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
+def fingerprint_components(prints: DataFrame, distance: int, most: int) -> DataFrame:
+    """(fp, root, component_id) of each fingerprint. Nodes are fingerprints, whatever the ids of their rows; component_id is the smallest id."""
+    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
+    roots = components(fingerprint_links(distinct.select("fp", F.col("fp").alias("rep")), distance, most))
+    rooted = materialise(distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root")), "roots")
+    low = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    return materialise(rooted.join(low, "root").select("fp", "root", "component_id"), "components")  # so that the rows of a hot fingerprint can be split in the join
+
+
 def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text", most: int = 1024) -> DataFrame:
     """One row per input row: id_col, fingerprint (16 hex digits), component_id (the smallest id reachable over links).
 
     Empty and null texts share fingerprint zero and link like any other. Equal fingerprints are one node, so copies are never paired.
-    Rows with a null id share a node with their fingerprint's other rows; a component of null ids only has a null component_id.
+    Rows with a null id link like any other; a component of null ids only has a null component_id. Rows that repeat an id are rows
+    of their own: they meet only if their fingerprints do.
     """
     prints = materialise(fingerprints(docs, width, id_col, text_col), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    links = fingerprint_links(distinct.where("rep is not null"), distance, most)
-    roots = components(links)
-    of_fp = distinct.join(roots, distinct["rep"] == roots["node"], "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
-    of_fp = materialise(of_fp, "components")  # so that the rows of a hot fingerprint can be split in the join
+    of_fp = fingerprint_components(prints, distance, most)
     return prints.join(of_fp, "fp").select(F.col("doc_id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """docs with only the document of the smallest id of each component; rows that repeat that id stay with it."""
-    stay = near_duplicates(docs, id_col=id_col, text_col=text_col, **kw).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__ew_id")).distinct()
-    return docs.join(stay, docs[id_col] == stay["__ew_id"], "left_semi")
+ROW = ("__ew_row1", "__ew_row2")
+
+
+def row_keys(docs: DataFrame) -> DataFrame:
+    """docs with a key of 128 bits for each row, taken from all columns that can be hashed; rows that are equal in them share it."""
+    cols = [docs[c] for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    # a null leaves xxhash64 as it is, so where nulls are is hashed too
+    return docs.withColumns({name: F.xxhash64(F.lit(i), *cols, *[c.isNull() for c in cols]) for i, name in enumerate(ROW)})
+
+
+def first_of_each(rows: DataFrame, rooted: DataFrame) -> DataFrame:
+    """rows, without their keys, of which exactly one stays for each root: that of the smallest id, nulls last. rooted: (doc_id, keys, root)."""
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *ROW)).alias("s")).select(*[F.col(f"s.{k}") for k in ROW])
+    kept = rows.join(materialise(first, "first"), list(ROW), "left_semi")
+    return kept.dropDuplicates(list(ROW)).drop(*ROW)
+
+
+def one_of_each(docs: DataFrame, width: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text", most: int = 1024) -> DataFrame:
+    """docs with exactly one row of each component: that of the smallest id, null ids last."""
+    rows = row_keys(docs)
+    prints = materialise(fingerprints(rows, width, id_col, text_col, ROW), "fingerprints")
+    return first_of_each(rows, prints.join(fingerprint_components(prints, distance, most), "fp"))
