@@ -2,27 +2,48 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KEY = ["stream_id", "event_id"]
 
 
-def paths(events: DataFrame, max_depth: int = 7) -> DataFrame:
-    """(stream_id, event_id, root_id, depth, path): ids from the root to the event, for events whose chain of parents ends in a root within
-    max_depth steps; a missing parent ends the chain as a root would. Each round doubles the steps, so rounds grow as log2(max_depth);
-    an event on a cycle never arrives and is left out."""
+def paths(events: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """(stream_id, event_id, root_id, depth, path): ids from the root to the event, for events whose chain of parents ends in a root; a
+    missing parent ends the chain as a root would. Each round doubles the steps. Without max_depth, rounds go on until
+    no pointer moves, or have reached as many steps as the largest stream has events, which no chain exceeds; an event on or below a cycle never arrives and is left out. With it, events deeper than the
+    steps of the rounds that reach max_depth are left out too."""
     known = events.select("stream_id", F.col("event_id").alias("parent_id")).withColumn("there", F.lit(True))
     state = events.select("stream_id", "event_id", "parent_id").join(known, ["stream_id", "parent_id"], "left")
     state = state.select("stream_id", "event_id", F.when(F.col("there"), F.col("parent_id")).alias("up"), F.array("event_id").alias("path"))
-    for _ in range(max(1, max_depth).bit_length()):
-        above = state.select("stream_id", F.col("event_id").alias("up"), F.col("up").alias("up2"), F.col("path").alias("path2"))
-        state = state.join(above, ["stream_id", "up"], "left").select("stream_id", "event_id", F.col("up2").alias("up"), F.when(F.col("up").isNull(), F.col("path")).otherwise(F.concat("path2", "path")).alias("path"))
+    if max_depth is not None:
+        for _ in range(max(1, max_depth).bit_length()):
+            state = _doubled(state)
+    else:
+        most = events.groupBy("stream_id").count().agg(F.max("count")).first()[0] or 1
+        for _ in range(int(most).bit_length()):
+            state = _kept(_doubled(state))  # each round reads the one before twice
+            if state.where("up is not null").isEmpty():
+                break
     done = state.where("up is null")
     return done.select("stream_id", "event_id", F.col("path")[0].alias("root_id"), (F.size("path") - 1).alias("depth"), "path")
 
 
-def dag_check(edges: DataFrame, nodes: DataFrame, max_depth: int = 7) -> DataFrame:
+def _doubled(state: DataFrame) -> DataFrame:
+    above = state.select("stream_id", F.col("event_id").alias("up"), F.col("up").alias("up2"), F.col("path").alias("path2"))
+    return state.join(above, ["stream_id", "up"], "left").select("stream_id", "event_id", F.col("up2").alias("up"), F.when(F.col("up").isNull(), F.col("path")).otherwise(F.concat("path2", "path")).alias("path"))
+
+
+def _kept(state: DataFrame) -> DataFrame:
+    spark = state.sparkSession
+    path = f"{(spark.conf.get('spark.checkpoint.dir', None) or 'file:///tmp/eventweir').rstrip('/')}/paths-{uuid.uuid4().hex}"
+    state.write.parquet(path)
+    return spark.read.schema(state.schema).parquet(path)
+
+
+def dag_check(edges: DataFrame, nodes: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Per stream: is_dag, whether every target has one source and no node lies on a cycle. edges: (stream_id, source, target), nodes: (stream_id, node)."""
     ins = edges.groupBy("stream_id").agg(F.count(F.lit(1)).alias("n_edges"), F.count_distinct("target").alias("n_targets"))
     rows = nodes.join(edges.select("stream_id", F.col("target").alias("node"), "source"), ["stream_id", "node"], "left")
@@ -33,13 +54,13 @@ def dag_check(edges: DataFrame, nodes: DataFrame, max_depth: int = 7) -> DataFra
     return out.select("stream_id", (one & (F.coalesce("n_reached", F.lit(0)) == F.col("n_nodes"))).alias("is_dag"))
 
 
-def ground_truth(events: DataFrame, max_depth: int = 7) -> DataFrame:
+def ground_truth(events: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Per causal event: parent_id, root_id and path; events: (stream_id, event_id, parent_id, is_background)."""
     causal = events.where(~F.col("is_background"))
     return paths(causal, max_depth).join(causal.select(*KEY, "parent_id"), KEY).select(*KEY, "parent_id", "root_id", F.array_join("path", ",").alias("path"))
 
 
-def ground_truth_maps(events: DataFrame, max_depth: int = 7) -> DataFrame:
+def ground_truth_maps(events: DataFrame, max_depth: int | None = None) -> DataFrame:
     """The nested form: parents, roots and paths as maps, root and background ids sorted."""
     t = ground_truth(events, max_depth)
     entry = lambda c: F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), F.struct(F.col("event_id").cast("string").alias("k"), F.col(c).alias("v"))))))
@@ -48,7 +69,7 @@ def ground_truth_maps(events: DataFrame, max_depth: int = 7) -> DataFrame:
     return maps.join(back, "stream_id", "full_outer").withColumn("background_event_ids", F.coalesce("background_event_ids", F.array().cast("array<bigint>")))
 
 
-def ground_truth_check(events: DataFrame, claimed: DataFrame, max_depth: int = 7) -> DataFrame:
+def ground_truth_check(events: DataFrame, claimed: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Claimed (stream_id, event_id, root_id, path) against what the events say: the rows that differ or are missing on either side."""
     mine = ground_truth(events, max_depth).select(*KEY, F.col("root_id").alias("expected_root"), F.col("path").alias("expected_path"))
     both = mine.join(claimed.select(*KEY, "root_id", "path"), KEY, "full_outer")

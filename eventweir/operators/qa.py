@@ -42,7 +42,7 @@ def time_delay(events: DataFrame) -> DataFrame:
     return _pair(first_parented(events), "time_delay", F.col("event_id"), F.col("delta_us"), F.col("parent_id"))
 
 
-def causal_path(events: DataFrame, max_depth: int = 7) -> DataFrame:
+def causal_path(events: DataFrame, max_depth: int | None = None) -> DataFrame:
     p = paths(events.where("not is_background"), max_depth).select("stream_id", "event_id", "path")
     return _pair(deepest(events).join(p, ["stream_id", "event_id"]), "causal_path", F.col("event_id"), F.concat(F.lit("["), F.array_join(F.col("path").cast("array<string>"), ", "), F.lit("]")))
 
