@@ -790,7 +790,8 @@ def simulate_streams(spark, d):
 @query()
 def simulate_calibrated(spark, d):
     e = S.events(spark, d)
-    return simulate.simulate(simulate.stratified(spark, 50), prior=simulate.load_prior(e))
+    n = e.select("stream_id").distinct().count()
+    return simulate.simulate(simulate.stratified(spark, n), prior=simulate.load_prior(e))
 
 
 @query(f"WITH {E_SQL}, {STEPS_SQL} SELECT a AS source, b AS target, count(*) AS n FROM x WHERE ab > 0 GROUP BY a, b")
