@@ -775,6 +775,12 @@ def interleave_repair(spark, d):
     return simulate.interleave_repair(G(spark, d).where("pos < 12").select("stream_id", "us", moved.alias("event_id"), "is_background"))
 
 
+@query(ORACLES["interleave_repair"].replace(" FROM g WHERE pos < 12)", " FROM g)"))
+def interleave_repair_whole(spark, d):
+    moved = F.when(F.col("stream_id") % 3 == 0, F.col("event_id")).otherwise(F.col("event_id") + F.when(F.col("pos") == 1, 1000).otherwise(0))
+    return simulate.interleave_repair(G(spark, d).select("stream_id", "us", moved.alias("event_id"), "is_background"))
+
+
 @query(f"WITH s AS (SELECT DISTINCT user_id AS stream_id FROM events), a AS (SELECT stream_id, unnest(range(5)) AS attempt FROM s) SELECT stream_id, min(attempt) AS attempt FROM a WHERE {_u('stream_id', 'attempt')} < 0.4 GROUP BY stream_id")
 def retry_first_success(spark, d):
     s = S.events(spark, d).select("stream_id").distinct().select("stream_id", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("attempt"))
