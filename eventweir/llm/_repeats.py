@@ -4,15 +4,19 @@ A text is a sequence of symbols (words or bytes) and a window is ``length`` cons
 occurs twice must be found without shipping every suffix. So only some suffixes are sampled: in each window, the one that begins
 with the window's smallest gram of ``gram`` symbols (by hash, the leftmost of equals). The choice depends on the window's symbols
 alone, so equal windows sample suffixes at the same offset, and it changes seldom as the window moves on: about 2 / (length - gram + 2)
-of all suffixes are sampled. The windows that sample one suffix are consecutive.
-
-1. Sampled suffixes are counted by the hash of their gram; a gram that occurs once can't lie in a repeated window.
-2. The others are joined back to their texts (shuffled once; both joins with the texts use the same exchange), which yields each
-   one's context: the symbols of all its windows.
-3. Contexts meet by gram. A group with more than ``most`` members is dealt out to parts of about that size. The operator's
-   own ``solve`` decides within a group, exactly, which windows are equal, and returns the repeated ones as ranges of starts. For a dealt-out group it also returns
-   one representative of every distinct window of the part, under a digest of the whole window (its longest prefix).
-4. Representatives meet by digest: at most one from each part, so a group of any size is never gathered.
+of all suffixes are sampled. The windows that sample one suffix are consecutive: they start ``far`` to ``least`` symbols before it.
+
+1. Equal texts are counted first (by 128 bits of hash). All windows of a text that occurs twice are repeated, so one row stands for
+   all copies from there on, and rows that repeat cost no more than rows that don't.
+2. Sampled suffixes are counted by the hash of their gram; a gram that occurs once can't lie in a repeated window.
+3. The others are joined back to their texts (shuffled once; the last join with the texts uses the same exchange), which yields each
+   one's context: the symbols of all its windows. Contexts meet by gram; the operator's own ``solve`` decides within a group, exactly,
+   which windows are equal, and returns the repeated ones as ranges of starts.
+4. A gram that more than ``most`` suffixes share never meets as a group. Its prefix is lengthened until what shares it fits: the windows
+   that start a to b symbols before the suffix all hold the symbols from a before it to length - b behind, so halving [a, b] gives two
+   longer prefixes, counted anew. Prefixes that occur once end there, those that fit are solved as above, and the
+   longest are whole windows, which are repeated if they occur twice, however often that is. Keys with more than ``most``
+   members are known before anything is shuffled by them, and are marked by a join with their (counted) list instead.
 5. Ranges go back to their texts.
 """
 
@@ -20,13 +24,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from functools import cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._batches import flat_bytes, pieces
+from ._batches import as_bytes, flat_bytes, pieces
 from ._shared import materialise
 
 U = np.uint64
@@ -124,42 +129,103 @@ def values_of(text: pa.Array, words: bool) -> tuple[np.ndarray, np.ndarray]:
 
 
 PACK = 12  # bits of each of the two offsets beside the place
+TEXT = ["_t1", "_t2"]  # 128 bits that tell texts apart
+KEY = ["k1", "k2"]
 
 
-def find_ranges(keyed: DataFrame, words: bool, length: int, gram: int, most: int, solve: Callable, keep_samples: bool = True) -> DataFrame:
-    """(_id, _th, _ranges): the repeated windows of each text of keyed (_id, _th, text), as ranges of starts.
+def small(df: DataFrame, rows: int, most: int) -> DataFrame:
+    """df, sent to every task if its counted rows are no more than most."""
+    return F.broadcast(df) if rows <= most else df
+
+
+def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_id, _t1, _t2, text): null texts are empty."""
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    return docs.select(docs[id_col].alias("_id"), F.xxhash64(text).alias("_t1"), F.xxhash64(F.lit(1), text).alias("_t2"), text.alias("text"))
+
+
+def marked_texts(keyed: DataFrame, broadcast_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(all rows with _copied, one row of each distinct text): _copied is true where the text occurs twice.
+
+    The row that stands for copies is that of the smallest id; if that id's row itself is repeated, one of its equals.
+    """
+    of_id = keyed.groupBy(*TEXT, "_id").agg(F.count(F.lit(1)).alias("m")).groupBy(*TEXT)
+    copies = of_id.agg(F.sum("m").alias("n"), F.min(F.struct("_id", "m")).alias("s")).where("n > 1")
+    copies = materialise(copies.select(*TEXT, F.col("s._id").alias("_rep"), F.col("s.m").alias("_m"), F.lit(True).alias("_copied")), "copied-texts")
+    n, again = copies.agg(F.count(F.lit(1)), F.max("_m")).first()
+    marked = keyed.join(small(copies, n, broadcast_rows), TEXT, "left") if n else keyed.withColumns({"_rep": F.col("_id"), "_m": F.lit(1).cast("long"), "_copied": F.lit(None).cast("boolean")})
+    cols = [F.col("_id"), *map(F.col, TEXT), F.col("text"), F.coalesce("_copied", F.lit(False)).alias("_copied")]
+    first = F.col("_id").eqNullSafe(F.col("_rep"))
+    distinct = marked.where(F.col("_copied").isNull() | (first & (F.col("_m") == 1))).select(*cols)
+    if (again or 0) > 1:
+        distinct = distinct.unionAll(marked.where(first & (F.col("_m") > 1)).select(*cols).dropDuplicates(TEXT))
+    return marked.select(*cols), distinct
+
+
+def unpacked(p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return p >> 2 * PACK, p >> PACK & (1 << PACK) - 1, p & (1 << PACK) - 1
+
+
+def column(rows: pa.RecordBatch, name: str) -> pa.Array:
+    return rows.column(rows.schema.get_field_index(name))
+
+
+def cut_contexts(text: pa.Array, words: bool, length: int, row: np.ndarray, at: np.ndarray, least: np.ndarray, far: np.ndarray) -> pa.Array:
+    """The symbols of all windows of each sampled suffix, as bytes."""
+    flat, offs = flat_bytes(text)
+    if words:
+        a, e, woffs = word_spans(flat, offs)
+        i = woffs[row] + at
+        s, t = a[i - far], e[i - least + length - 1]
+    else:
+        s = offs[row] + at - far
+        t = offs[row] + at - least + length
+    raw = flat.tobytes()
+    return pa.array([raw[x:y] for x, y in zip(s.tolist(), t.tolist())], pa.binary())
+
+
+def find_ranges(distinct: DataFrame, words: bool, length: int, gram: int, most: int, solve: Callable, broadcast_rows: int, keep_samples: bool = True) -> DataFrame:
+    """(_t1, _t2, _ranges): the repeated windows of each of the distinct texts, as ranges of starts.
 
     keep_samples writes the sampled suffixes to the shared folder; without it they are sampled again for the join, which saves that disk.
     """
+    if not 0 < gram <= length < 1 << PACK:
+        raise ValueError(f"0 < gram <= length < {1 << PACK} is needed, not {gram} and {length}")
 
     def sample(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, text in pieces(batches, "text", 1 << 20):
             g, row, at, least, far = sampled(*values_of(text, words), length, gram)
-            ids, th = (rows.column(rows.schema.get_field_index(c)).to_numpy(zero_copy_only=False)[row] for c in ("_id", "_th"))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (g.view(np.int64), ids, th, at << 2 * PACK | least << PACK | far)], ["g", "_id", "_th", "p"])
+            own = [pa.array(column(rows, c).to_numpy()[row]) for c in TEXT]
+            yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), *own, pa.array(at << 2 * PACK | least << PACK | far)], ["g", *TEXT, "p"])
 
     def contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, text in pieces(batches, "text", 1 << 20):
-            flat, offs = flat_bytes(text)
-            col = lambda c: rows.column(rows.schema.get_field_index(c))
-            found = col("_found")
+            found = column(rows, "_found")
             counts = np.diff(np.array(found.offsets))
-            f = found.flatten()
-            g, p, parts = (f.field(i).to_numpy() for i in range(3))
+            g, p = (found.flatten().field(i).to_numpy() for i in range(2))
             row = np.repeat(np.arange(len(counts)), counts)
-            at, least, far = p >> 2 * PACK, p >> PACK & (1 << PACK) - 1, p & (1 << PACK) - 1
-            if words:
-                a, e, woffs = word_spans(flat, offs)
-                i = woffs[row] + at
-                s, t = a[i - far], e[i - least + length - 1]
-            else:
-                s = offs[row] + at - far
-                t = offs[row] + at - least + length
-            raw = flat.tobytes()
-            said = pa.array([raw[x:y] for x, y in zip(s.tolist(), t.tolist())], pa.binary())
-            ids, th = (col(c).to_numpy(zero_copy_only=False)[row] for c in ("_id", "_th"))
-            salt = (mix(ids.view(U) * U(3) + th.view(U) + at.astype(U)) % parts.astype(U)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (g, salt, parts, ids, th, p)] + [said], ["g", "salt", "parts", "_id", "_th", "p", "context"])
+            said = cut_contexts(text, words, length, row, *unpacked(p))
+            own = [pa.array(column(rows, c).to_numpy()[row]) for c in TEXT]
+            yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(np.zeros(len(g), np.int64)), *own, pa.array(p), said], [*KEY, *TEXT, "p", "context"])
+
+    spots = distinct.mapInArrow(sample, "g long, _t1 long, _t2 long, p long")
+    if keep_samples:
+        spots = materialise(spots, "sampled-suffixes")
+    shared = materialise(spots.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared-grams")
+    hot = shared.where(F.col("n") > most).select("g")
+    n_hot = hot.count()
+    calm = spots.join(small(hot, n_hot, broadcast_rows), "g", "left_anti") if n_hot else spots
+    found = calm.join(shared.select("g"), "g").groupBy(*TEXT).agg(F.collect_list(F.struct("g", "p")).alias("_found"))
+    near = distinct.join(found, TEXT).mapInArrow(contexts, "k1 long, k2 long, _t1 long, _t2 long, p long, context binary")
+    told = decided(near, most, solve)
+    if n_hot:
+        for more in longer_prefixes(hot_contexts(distinct, spots, hot, n_hot, words, length, gram, broadcast_rows), words, length, gram, most, solve, broadcast_rows):
+            told = told.unionAll(more)
+    return told.groupBy(*TEXT).agg(F.collect_list(F.struct("a", "b")).alias("_ranges"))
+
+
+def decided(near: DataFrame, most: int, solve: Callable) -> DataFrame:
+    """(_t1, _t2, a, b): ranges of starts of repeated windows, from groups (k1, k2) of at most ``most`` contexts each."""
 
     def decide(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -169,50 +235,107 @@ def find_ranges(keyed: DataFrame, words: bool, length: int, gram: int, most: int
             if size < most:
                 continue
             t = pa.concat_tables(held)
-            g, salt = t.column("g").to_numpy(), t.column("salt").to_numpy()
-            edge = np.flatnonzero((g != g[-1]) | (salt != salt[-1]))
+            k1, k2 = (t.column(c).to_numpy() for c in KEY)
+            edge = np.flatnonzero((k1 != k1[-1]) | (k2 != k2[-1]))
             cut = int(edge[-1]) + 1 if len(edge) else 0  # the last group may go on
             if cut:
-                yield from solved(t.slice(0, cut))
+                yield solved(t.slice(0, cut))
             held, size = [t.slice(cut)], t.num_rows - cut
         if held and size:
-            yield from solved(pa.concat_tables(held))
+            yield solved(pa.concat_tables(held))
 
-    def solved(t: pa.Table) -> Iterator[pa.RecordBatch]:
+    def solved(t: pa.Table) -> pa.RecordBatch:
         t = t.combine_chunks()
-        g, salt, parts, ids, th, p = (t.column(c).to_numpy() for c in ("g", "salt", "parts", "_id", "_th", "p"))
-        group = np.cumsum(np.concatenate([[0], (g[1:] != g[:-1]) | (salt[1:] != salt[:-1])]))
-        at, least, far = p >> 2 * PACK, p >> PACK & (1 << PACK) - 1, p & (1 << PACK) - 1
-        member, lo, hi, digest, alone = solve(t.column("context").to_pylist(), group, least, far, parts > 1)
+        k1, k2, t1, t2, p = (t.column(c).to_numpy() for c in (*KEY, *TEXT, "p"))
+        group = np.cumsum(np.concatenate([[0], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])]))
+        at, least, far = unpacked(p)
+        member, lo, hi = solve(t.column("context").to_pylist(), group, least, far)
         # lo and hi are symbols before the sampled suffix: the windows start hi to lo symbols before it
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[member]), pa.array(th[member]), pa.array(at[member] - hi), pa.array(at[member] - lo), pa.array([d or b"" for d in digest], pa.binary()), pa.array(alone)], ["_id", "_th", "a", "b", "digest", "alone"]
-        )
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (t1[member], t2[member], at[member] - hi, at[member] - lo)], [*TEXT, "a", "b"])
 
-    spots = keyed.mapInArrow(sample, "g long, _id long, _th long, p long")
-    if keep_samples:
-        spots = materialise(spots, "sampled-suffixes")
-    shared = spots.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("g", F.ceil(F.col("n") / most).cast("long").alias("parts"))
-    shared = materialise(shared, "shared-grams")  # so that both sides of the join are dealt out for it, and a hot gram's side can be split
-    found = spots.join(shared, "g").groupBy("_id", "_th").agg(F.collect_list(F.struct("g", "p", "parts")).alias("_found"))
-    near = keyed.join(found, ["_id", "_th"]).mapInArrow(contexts, "g long, salt long, parts long, _id long, _th long, p long, context binary")
-    told = near.repartition("g", "salt").sortWithinPartitions("g", "salt").mapInArrow(decide, "_id long, _th long, a long, b long, digest binary, alone boolean")
-    # What is decided has no digest and is grouped by its text; a representative counts if another part has its window too.
-    key = F.when(F.octet_length("digest") == 0, F.xxhash64("_id", "_th")).otherwise(F.xxhash64("digest"))
-    met = told.groupBy(key.alias("k"), "digest").agg(F.collect_list(F.struct("_id", "_th", "a", "b", "alone")).alias("x"), F.count(F.lit(1)).alias("n"))
-    met = met.where((F.octet_length("digest") == 0) | (F.col("n") > 1)).select("digest", F.explode("x").alias("x")).where((F.octet_length("digest") == 0) | F.col("x.alone"))
-    return met.groupBy(F.col("x._id").alias("_id"), F.col("x._th").alias("_th")).agg(F.collect_list(F.struct("x.a", "x.b")).alias("_ranges"))
+    return near.repartition(*KEY).sortWithinPartitions(*KEY).mapInArrow(decide, "_t1 long, _t2 long, a long, b long")
 
 
-def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_id, _th, text): null ids as the smallest long, null texts as empty; a row is known by its id and its text's hash."""
-    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    return docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(-(1 << 63)).cast("long")).alias("_id"), F.xxhash64(text).alias("_th"), text.alias("text"))
+def hot_contexts(distinct: DataFrame, spots: DataFrame, hot: DataFrame, n_hot: int, words: bool, length: int, gram: int, broadcast_rows: int) -> DataFrame:
+    """(_t1, _t2, p, context, lo, hi) of the suffixes whose gram is among hot; lo..hi are the offsets that the prefix so far, the gram, stands for."""
+
+    def whole(rows: pa.RecordBatch, text: pa.Array, row: np.ndarray, at: np.ndarray, least: np.ndarray, far: np.ndarray) -> pa.RecordBatch:
+        own = [pa.array(column(rows, c).to_numpy()[row]) for c in TEXT]
+        ends = [pa.array(np.full(len(row), x, np.int32)) for x in (0, length - gram)]
+        return pa.RecordBatch.from_arrays([*own, pa.array(at << 2 * PACK | least << PACK | far), cut_contexts(text, words, length, row, at, least, far), *ends], [*TEXT, "p", "context", "lo", "hi"])
+
+    kind = "_t1 long, _t2 long, p long, context binary, lo int, hi int"
+    if n_hot <= broadcast_rows:  # the list goes along with the function: each text is sampled and cut where it lies
+        listed = np.sort(np.array([r[0] for r in hot.collect()], np.int64).view(U))
+
+        def sample(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows, text in pieces(batches, "text", 1 << 20):
+                g, row, at, least, far = sampled(*values_of(text, words), length, gram)
+                mine = listed[np.minimum(np.searchsorted(listed, g), len(listed) - 1)] == g
+                if mine.any():
+                    yield whole(rows, text, row[mine], at[mine], least[mine], far[mine])
+
+        return materialise(distinct.mapInArrow(sample, kind), "hot-contexts")
+
+    def joined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, text in pieces(batches, "text", 1 << 20):
+            found = column(rows, "_found")
+            counts = np.diff(np.array(found.offsets))
+            yield whole(rows, text, np.repeat(np.arange(len(counts)), counts), *unpacked(found.flatten().to_numpy()))
+
+    found = spots.join(hot, "g").groupBy(*TEXT).agg(F.collect_list("p").alias("_found"))
+    return materialise(distinct.join(found, TEXT).mapInArrow(joined, kind), "hot-contexts")
+
 
+def longer_prefixes(hot: DataFrame, words: bool, length: int, gram: int, most: int, solve: Callable, broadcast_rows: int) -> Iterator[DataFrame]:
+    """Ranges of repeated windows (as ``decided``) of suffixes whose group is too large, by prefixes that get longer from round to round."""
 
-def covered(ranges: pa.ListArray, i: int, n: int, length: int) -> np.ndarray | None:
-    """Which of n symbols lie in a window that starts in one of row i's ranges; None for none."""
-    r = ranges[i].values if ranges is not None and ranges[i].is_valid else None
+    def halves(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys, row, ps, los, his, said = [], [], [], [], [], []
+            at, least, far = unpacked(column(b, "p").to_numpy())
+            for i, (x, c, t, f, lo, hi) in enumerate(zip(at.tolist(), column(b, "context").to_pylist(), least.tolist(), far.tolist(), column(b, "lo").to_pylist(), column(b, "hi").to_pylist())):
+                c = c.split() if words else c
+                mid = (lo + hi) // 2
+                for u, v in ((lo, mid), (mid + 1, hi)):
+                    s, e = max(t, u), min(f, v)
+                    if s > e or u > v:
+                        continue
+                    part = c[f - e : f + length - s]  # all windows that start s to e symbols before the suffix
+                    core = part[e - u : e + length - v]
+                    part, core = (b" ".join(part), b" ".join(core)) if words else (part, core)
+                    keys.append(blake2b(core, digest_size=16, salt=b"%d %d" % (u, v)).digest())
+                    row.append(i)
+                    ps.append(x << 2 * PACK | s << PACK | e)
+                    los.append(u)
+                    his.append(v)
+                    said.append(b"" if u == v else part)
+            k = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
+            own = [column(b, c).take(pa.array(row, pa.int64())) for c in TEXT]
+            yield pa.RecordBatch.from_arrays([pa.array(k[:, 0]), pa.array(k[:, 1]), *own, pa.array(ps, pa.int64()), pa.array(said, pa.binary()), pa.array(los, pa.int32()), pa.array(his, pa.int32())], [*KEY, *TEXT, "p", "context", "lo", "hi"])
+
+    for _ in range((length - gram).bit_length()):
+        split = hot.mapInArrow(halves, "k1 long, k2 long, _t1 long, _t2 long, p long, context binary, lo int, hi int")
+        shared = materialise(split.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared-prefixes")
+        large = shared.where(F.col("n") > most).select(*KEY)
+        n_large = large.count()
+        calm = split.join(small(large, n_large, broadcast_rows), KEY, "left_anti") if n_large else split
+        fit = calm.join(shared.select(*KEY), KEY)
+        yield decided(fit.where("lo < hi").select(*KEY, *TEXT, "p", "context"), most, solve)
+        start = F.shiftright("p", 2 * PACK) - F.col("lo")
+        yield fit.where("lo = hi").select(*TEXT, start.alias("a"), start.alias("b"))
+        if not n_large:
+            return
+        over = split.join(small(large, n_large, broadcast_rows), KEY)
+        yield over.where("lo = hi").select(*TEXT, start.alias("a"), start.alias("b"))
+        hot = materialise(over.where("lo < hi").select(*TEXT, "p", "context", "lo", "hi"), "hot-contexts")
+
+
+def covered(ranges: pa.ListArray | None, i: int, n: int, length: int) -> np.ndarray | None:
+    """Which of n symbols lie in a window that starts in one of row i's ranges, or in any window if there are no ranges to look at; None for none."""
+    if ranges is None:
+        return np.ones(n, bool) if n >= length else None
+    r = ranges[i].values if ranges[i].is_valid else None
     if r is None or not len(r):
         return None
     a, b = (r.field(k).to_numpy() for k in range(2))
@@ -222,6 +345,37 @@ def covered(ranges: pa.ListArray, i: int, n: int, length: int) -> np.ndarray | N
     return np.cumsum(d[:-1]) > 0
 
 
+def finished(docs: DataFrame, id_col: str, text_col: str, words: bool, length: int, gram: int, most: int, solve: Callable, broadcast_rows: int, keep_samples: bool, answer: Callable, cols: list[tuple[str, pa.DataType]]) -> DataFrame:
+    """One row per row of docs: _id and what answer(text, gone) says, gone being the mask of symbols to remove or None.
+
+    answer gets the text as bytes and a function from its number of symbols to the mask.
+    """
+    keyed = keyed_texts(docs, id_col, text_col)
+    marked, distinct = marked_texts(keyed, broadcast_rows)
+    ranges = find_ranges(distinct, words, length, gram, most, solve, broadcast_rows, keep_samples)
+    names = ["_id", *(c for c, _ in cols)]
+
+    def finish(copied: bool) -> Callable:
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows, text in pieces(batches, "text"):
+                found = None if copied else column(rows, "_ranges")
+                mine = np.flatnonzero(column(rows, "_copied").to_numpy(zero_copy_only=False) == copied)
+                texts = as_bytes(text)
+                said = [answer(texts[i], lambda n, i=i: covered(found, i, n, length)) for i in mine.tolist()]
+                each = list(zip(*said)) or [()] * len(cols)
+                yield pa.RecordBatch.from_arrays([column(rows, "_id").take(pa.array(mine)), *(pa.array(v, t) for v, (_, t) in zip(each, cols))], names)
+
+        return run
+
+    ddl = ", ".join([f"_id {keyed.schema['_id'].dataType.simpleString()}", *(f"{c} {DDL[t]}" for c, t in cols)])
+    # Copies are left out behind the join, not before it, so that the texts' exchange is the one that contexts came from.
+    alone = distinct.join(ranges, TEXT, "left").mapInArrow(finish(False), ddl)
+    return alone.unionAll(marked.where("_copied").mapInArrow(finish(True), ddl))
+
+
+DDL = {pa.int64(): "long", pa.string(): "string", pa.binary(): "binary"}
+
+
 def repeated_classes(order: np.ndarray, lcp: np.ndarray, depth: int) -> np.ndarray:
     """A number for each member: equal where members share ``depth`` symbols. order sorts members, lcp is what each has in common with the one before."""
     out = np.empty(len(order), np.int64)
@@ -229,44 +383,30 @@ def repeated_classes(order: np.ndarray, lcp: np.ndarray, depth: int) -> np.ndarr
     return out
 
 
-def equal_windows(right: tuple, left: tuple, least: np.ndarray, far: np.ndarray, length: int, dealt: np.ndarray, digest: Callable) -> tuple:
-    """Which windows are equal, given both sides' order and common lengths: for each offset, members whose symbols before and after agree.
+def equal_windows(right: tuple, left: tuple, least: np.ndarray, far: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(member, lo, hi): the offsets of each member whose windows another member has too, as ranges.
 
-    Returns (member, lo, hi, digest, alone). A range lo..hi of offsets without a digest is decided. Members of dealt-out groups also give one
-    representative for each distinct window, alone if no other member of the part has it.
+    right and left hold both sides' order and the depths of the nodes that join neighbours. A window at offset o is a node of depth
+    length - o of the right tree and one of depth o of the left tree; it is repeated where two members are below both.
     """
     m = len(least)
-    members, los, digests, alones = [], [], [], []
-    rep_m, rep_o, rep_alone = [], [], []
+    members, los = [], []
     for o in range(int(least.min()), int(far.max()) + 1):
         live = np.flatnonzero((least <= o) & (far >= o))
-        if not len(live):
+        if len(live) < 2:
             continue
         key = repeated_classes(*right, length - o)[live] * m + repeated_classes(*left, o)[live]
         by = np.argsort(key, kind="stable")
         k = key[by]
-        new = np.concatenate([[True], k[1:] != k[:-1]])
-        size = np.diff(np.concatenate([np.flatnonzero(new), [len(k)]]))
-        twice = np.repeat(size > 1, size)
+        same = k[1:] == k[:-1]
+        twice = np.concatenate([[False], same]) | np.concatenate([same, [False]])
         members.append(live[by[twice]])
-        los.append(np.full(int(twice.sum()), o))
-        if dealt.any():
-            rep = live[by[new]]
-            rep, lonely = rep[dealt[rep]], (size == 1)[dealt[rep]]
-            rep_m.append(rep)
-            rep_o.append(np.full(len(rep), o))
-            rep_alone.append(lonely)
+        los.append(np.full(len(members[-1]), o))
     member = np.concatenate(members) if members else np.zeros(0, np.int64)
     off = np.concatenate(los) if los else np.zeros(0, np.int64)
     by = np.lexsort((off, member))
     member, off = member[by], off[by]
-    first = np.concatenate([[True], (member[1:] != member[:-1]) | (off[1:] != off[:-1] + 1)]) if len(member) else np.zeros(0, bool)
-    at = np.flatnonzero(first)
-    lo, hi = off[at], off[np.concatenate([at[1:] - 1, [len(off) - 1]])] if len(at) else off[:0]
-    member, digests, alones = member[at], [None] * len(at), [False] * len(at)
-    if rep_m:
-        rm, ro, ra = np.concatenate(rep_m), np.concatenate(rep_o), np.concatenate(rep_alone)
-        digests += [digest(int(i), int(o)) for i, o in zip(rm, ro)]
-        alones += ra.tolist()
-        member, lo, hi = np.concatenate([member, rm]), np.concatenate([lo, ro]), np.concatenate([hi, ro])
-    return member, lo, hi, digests, np.array(alones, bool)
+    if not len(member):
+        return member, off, off
+    at = np.flatnonzero(np.concatenate([[True], (member[1:] != member[:-1]) | (off[1:] != off[:-1] + 1)]))
+    return member[at], off[at], off[np.concatenate([at[1:] - 1, [len(off) - 1]])]

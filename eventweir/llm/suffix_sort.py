@@ -11,16 +11,13 @@ behind it and thus the order; where that fails the group is sorted again by plai
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from hashlib import blake2b, sha256
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ._batches import as_bytes, pieces
-from ._repeats import BASE, TABLE, U, covered, equal_windows, find_ranges, keyed_texts, power, prefix_sums
+from ._repeats import BASE, TABLE, U, equal_windows, finished, power, prefix_sums
 
 
 class Suffixes:
@@ -123,42 +120,32 @@ def verified(s: Suffixes, i: np.ndarray, j: np.ndarray, lcp: np.ndarray) -> bool
 
 
 def solver(length: int):
-    def solve(contexts: list[bytes], group: np.ndarray, least: np.ndarray, far: np.ndarray, dealt: np.ndarray) -> tuple:
+    def solve(contexts: list[bytes], group: np.ndarray, least: np.ndarray, far: np.ndarray) -> tuple:
         flat = np.frombuffer(b"".join(contexts), np.uint8)
         size = np.fromiter(map(len, contexts), np.int64, len(contexts))
         at = np.cumsum(size) - size
         right = sorted_suffixes(flat, at + far, size - far, group)
         left = sorted_suffixes(np.ascontiguousarray(flat[::-1]), len(flat) - (at + far), far, group)
-
-        def digest(i: int, o: int) -> bytes:
-            f = int(far[i])
-            return blake2b(contexts[i][f - o : f - o + length], digest_size=16).digest()
-
-        return equal_windows(right, left, least, far, length, dealt, digest)
+        return equal_windows(right, left, least, far, length)
 
     return solve
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 64, most: int = 4096, id_col: str = "doc_id", text_col: str = "text", texts: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 64, most: int = 4096, id_col: str = "doc_id", text_col: str = "text", texts: bool = False, broadcast_rows: int = 1 << 20) -> DataFrame:
     """One row per input row: id_col, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, or kept (binary) if texts.
 
     A byte of the UTF-8 text goes if it lies in a string of ``length`` bytes that starts anywhere else too, in the same text or
-    another; strings are judged on the input and may overlap. Null texts are empty; repeated rows are each other's repeats; other
-    columns aren't looked at.
+    another; strings are judged on the input and may overlap. Null texts are empty; repeated rows are each other's repeats; null ids
+    stay null; an empty table gives an empty result; other columns, whatever their names, aren't looked at. Lists of copied texts and of
+    prefixes with over ``most`` members are broadcast only up to ``broadcast_rows`` counted rows.
     """
-    keyed = keyed_texts(docs, id_col, text_col)
-    ranges = find_ranges(keyed, False, length, gram, most, solver(length), keep_samples=False)
-
-    def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, text in pieces(batches, "text"):
-            found, cols = rows.column(rows.schema.get_field_index("_ranges")), ([], [], [], [])
-            for i, t in enumerate(as_bytes(text)):
-                gone = covered(found, i, len(t), length)
-                kept = t if gone is None else np.frombuffer(t, np.uint8)[~gone].tobytes()
-                spans = 0 if gone is None else int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                for c, v in zip(cols, (len(t), len(t) - len(kept), spans, kept if texts else sha256(kept).hexdigest())):
-                    c.append(v)
-            yield pa.RecordBatch.from_arrays([rows.column(rows.schema.get_field_index("_id")), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.binary() if texts else pa.string())], ["id", "n_bytes", "n_removed", "n_spans", "kept"])
-
-    out = keyed.join(ranges, ["_id", "_th"], "left").mapInArrow(finish, f"id long, n_bytes long, n_removed long, n_spans long, kept {'binary' if texts else 'string'}")
-    return out.select(F.when(F.col("id") != -(1 << 63), F.col("id")).alias(id_col), "n_bytes", "n_removed", "n_spans", F.col("kept").alias("kept" if texts else "kept_sha256"))
+
+    def answer(text: bytes, gone) -> tuple:
+        gone = gone(len(text))
+        kept = text if gone is None else np.frombuffer(text, np.uint8)[~gone].tobytes()
+        spans = 0 if gone is None else int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
+        return len(text), len(text) - len(kept), spans, kept if texts else sha256(kept).hexdigest()
+
+    cols = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept" if texts else "kept_sha256", pa.binary() if texts else pa.string())]
+    out = finished(docs, id_col, text_col, False, length, gram, most, solver(length), broadcast_rows, False, answer, cols)
+    return out.withColumnRenamed("_id", id_col)

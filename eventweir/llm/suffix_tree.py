@@ -1,26 +1,24 @@
 """Substring dedup on words: prefix-partitioned suffix trees.
 
-Suffixes are split by prefix: by the first ``gram`` words, and where more than ``most`` suffixes share these, by the longest prefix
-that matters, the whole window (see _repeats, steps 3 and 4). Every group fits in memory and gets a subtree. The subtree is held
+Suffixes are split by prefix: by the first ``gram`` words, and where more than ``most`` suffixes share these, by prefixes that are made
+longer until what shares one fits (see _repeats, step 4). Every group fits in memory and gets a subtree. The subtree is held
 as the sorted suffixes and the depths of the internal nodes between neighbours; the suffixes below one internal node of depth d
 are those whose neighbours have at least d words in common. A second subtree holds the reversed words before each
 suffix. A deep internal node of the one, cut by the nodes of the other, is a repeat, and of window length or more it is
-removed. Words are compared as words: a group's distinct words are numbered, and hashes only choose who meets whom.
+removed: two leaves below a node of depth r of the one and of depth l of the other share a maximal repeat of l + r words, whose windows
+go. Words are compared as words: a group's distinct words are numbered, and hashes only choose who meets whom.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from hashlib import blake2b, sha256
+from hashlib import sha256
 from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ._batches import as_bytes, pieces
-from ._repeats import covered, equal_windows, find_ranges, keyed_texts
+from ._repeats import equal_windows, finished
 
 
 def subtree(group: np.ndarray, path: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -37,47 +35,36 @@ def subtree(group: np.ndarray, path: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def solver(length: int):
-    def solve(contexts: list[bytes], group: np.ndarray, least: np.ndarray, far: np.ndarray, dealt: np.ndarray) -> tuple:
-        words = [c.split() for c in contexts]
+    def solve(contexts: list[bytes], group: np.ndarray, least: np.ndarray, far: np.ndarray) -> tuple:
         number: dict[bytes, int] = {}
-        ids = [[number.setdefault(w, len(number)) for w in x] for x in words]
-        m, deep, back = len(words), int((length - least).max()), int(far.max())
+        ids = [[number.setdefault(w, len(number)) for w in c.split()] for c in contexts]
+        m, deep, back = len(ids), int((length - least).max()), int(far.max())
         after, before = np.empty((m, deep), np.int64), np.empty((m, max(back, 1)), np.int64)
         after[:] = before[:] = -1 - np.arange(m)[:, None]
         for i, (x, f) in enumerate(zip(ids, far.tolist())):
             after[i, : len(x) - f] = x[f:]
             before[i, :f] = x[:f][::-1]
-
-        def digest(i: int, o: int) -> bytes:
-            f = int(far[i])
-            return blake2b(b" ".join(words[i][f - o : f - o + length]), digest_size=16).digest()
-
-        return equal_windows(subtree(group, after), subtree(group, before), least, far, length, dealt, digest)
+        return equal_windows(subtree(group, after), subtree(group, before), least, far, length)
 
     return solve
 
 
-def remove_repeats(docs: DataFrame, length: int = 35, gram: int = 8, most: int = 4096, id_col: str = "doc_id", text_col: str = "text", texts: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 35, gram: int = 8, most: int = 4096, id_col: str = "doc_id", text_col: str = "text", texts: bool = False, broadcast_rows: int = 1 << 20) -> DataFrame:
     """One row per input row: id_col, n_words, n_removed, kept_sha256 (of the kept words joined by a space), or kept if texts.
 
     A word goes if it lies in a window of ``length`` words that starts anywhere else too, in the same text or another. Windows are
-    judged on the input. Null and empty texts have no words; repeated rows are each other's repeats; other columns aren't looked at.
+    judged on the input. Null and empty texts have no words; repeated rows are each other's repeats; null ids stay null; an empty table
+    gives an empty result; other columns, whatever their names, aren't looked at. Lists of copied texts and of prefixes with
+    over ``most`` members are broadcast only up to ``broadcast_rows`` counted rows.
     """
-    keyed = keyed_texts(docs, id_col, text_col)
-    ranges = find_ranges(keyed, True, length, gram, most, solver(length))
-
-    def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, text in pieces(batches, "text"):
-            found, n_words, n_removed, said = rows.column(rows.schema.get_field_index("_ranges")), [], [], []
-            for i, t in enumerate(as_bytes(text)):
-                w = t.split()
-                gone = covered(found, i, len(w), length)
-                kept = w if gone is None else list(compress(w, (~gone).tolist()))
-                n_words.append(len(w))
-                n_removed.append(len(w) - len(kept))
-                kept = b" ".join(kept)
-                said.append(kept.decode() if texts else sha256(kept).hexdigest())
-            yield pa.RecordBatch.from_arrays([rows.column(rows.schema.get_field_index("_id")), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(said, pa.string())], ["id", "n_words", "n_removed", "kept"])
-
-    out = keyed.join(ranges, ["_id", "_th"], "left").mapInArrow(finish, "id long, n_words long, n_removed long, kept string")
-    return out.select(F.when(F.col("id") != -(1 << 63), F.col("id")).alias(id_col), "n_words", "n_removed", F.col("kept").alias("kept" if texts else "kept_sha256"))
+
+    def answer(text: bytes, gone) -> tuple:
+        w = text.split()
+        gone = gone(len(w))
+        kept = w if gone is None else list(compress(w, (~gone).tolist()))
+        said = b" ".join(kept)
+        return len(w), len(w) - len(kept), said.decode() if texts else sha256(said).hexdigest()
+
+    cols = [("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept" if texts else "kept_sha256", pa.string())]
+    out = finished(docs, id_col, text_col, True, length, gram, most, solver(length), broadcast_rows, True, answer, cols)
+    return out.withColumnRenamed("_id", id_col)
