@@ -35,17 +35,38 @@ def flat_bytes(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Memo(dict):
-    """word -> bytes of its ids. Whole batches of unknown words are computed at once; at ``most`` entries it starts anew."""
+    """word -> bytes of its ids. Whole batches of unknown words are computed at once.
 
-    def __init__(self, compute: Callable[[list], list[bytes]], most: int):
+    It holds about ``most_bytes`` at most and then starts anew. Words of more than ``LONG`` bytes are kept for their own batch only.
+    """
+
+    ENTRY = 200  # about what an entry takes beside its two byte strings
+    LONG = 256
+
+    def __init__(self, compute: Callable[[list], list[bytes]], most_bytes: int):
         super().__init__()
-        self.compute, self.most = compute, most
+        self.compute, self.most_bytes, self.held = compute, most_bytes, 0
+        self.once: dict = {}
 
     def learn(self, words: Iterable) -> None:
         words = set(words)
         new = [w for w in words if w not in self]
-        if len(self) + len(new) > self.most:
+        long = [w for w in new if len(w) > self.LONG]
+        self.once = dict(zip(long, self.compute(long))) if long else {}
+        new = [w for w in new if len(w) <= self.LONG] if long else new
+        if not new:
+            return
+        got = self.compute(new)
+        size = sum(map(len, new)) + sum(map(len, got)) + self.ENTRY * len(new)
+        if self.held + size > self.most_bytes:
+            self.once |= {w: self[w] for w in words if w in self}
             self.clear()
-            new = list(words)
-        if new:
-            self.update(zip(new, self.compute(new)))
+            self.held = 0
+        if size > self.most_bytes:  # one batch of little else than new words
+            self.once |= zip(new, got)
+            return
+        self.update(zip(new, got))
+        self.held += size
+
+    def __missing__(self, word) -> bytes:
+        return self.once[word]

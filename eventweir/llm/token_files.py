@@ -12,7 +12,6 @@ follow ascending document ids; the rank table lies beside them.
 from __future__ import annotations
 
 import json
-import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
@@ -26,8 +25,9 @@ from pyspark.sql import functions as F
 from ._batches import Memo, as_bytes, pieces
 from ._shared import scratch_path
 
-#: Entries of each worker's memo of words; more frequent words come back after it was emptied, so only time depends on it.
-MEMO_WORDS = 1_200_000
+#: What each of a worker's two memos, of words and of their pieces, may take; frequent words come back after one was emptied, so only
+#: time depends on it.
+MEMO_BYTES = 128 << 20
 BLOCK_IDS = 1 << 19
 
 LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
@@ -68,9 +68,10 @@ def byte_symbols() -> dict[int, str]:
 class WordEncoder:
     """Ids of white-space-free words as little-endian bytes, through the tokenizers library.
 
-    No rule of the vocabulary looks across white space, so the ids of a text are those of its words in order. Words are cut by
-    the file's own pattern; each distinct lower-cased piece goes to the library's model once. Words that might hold an added
-    token go through the library whole, as do all words if the file's rules aren't the ones known here.
+    No rule of the vocabulary looks across white space, so the ids of a text are those of its words in order. ASCII words are cut by
+    the file's own pattern, and each distinct lower-cased piece goes to the library's model once. All others go through the library
+    whole, whose tables of characters needn't be those of any other package; so do words that might hold an added token, and all words
+    if the file's rules aren't the ones known here.
     """
 
     # The rules under which the short way holds.
@@ -85,45 +86,38 @@ class WordEncoder:
         steps = [*(spec["normalizer"] or {}).get("normalizers", []), *(spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
         self.known = [s["type"] for s in steps] == self.KNOWN
         self.cut = regex.compile(steps[3]["pattern"]["Regex"]).findall if self.known else None
-        self.added = sorted({t["content"][:2] for t in spec["added_tokens"]})
+        self.added = sorted({t["content"][:2].encode() for t in spec["added_tokens"]})
         self.symbols = byte_symbols()
         self.width, self.code = ("<u2", "H") if self.tok.get_vocab_size() + 1 < 1 << 16 else ("<u4", "I")
-        self.parts: dict[str, bytes] = {}
+        self.parts = Memo(self.pieces_of, MEMO_BYTES)
 
     def split(self, w: str) -> list[str]:
-        """The pieces of a word; letters alone, or with a full stop or comma behind them, needn't go through the pattern."""
-        w = w if w.isascii() else unicodedata.normalize("NFC", w)
-        w = w.lower() if "Σ" not in w else "".join([c.lower() for c in w])  # the library lowers each character by itself
+        """The pieces of an ASCII word; letters alone, or with a full stop or comma behind them, needn't go through the pattern."""
+        w = w.lower()
         if w.isalpha():
             return [w]
         if w[-1] in ".," and w[:-1].isalpha():
             return [w[:-1], w[-1]]
         return self.cut(w)
 
-    def learn(self, parts: set[str]) -> None:
-        new = parts.difference(self.parts)
-        if len(self.parts) + len(new) > MEMO_WORDS:
-            self.parts.clear()
-            new = parts
-        tokenize, symbols, code, known = self.tok.model.tokenize, self.symbols, self.code, self.parts
-        for p in new:
-            known[p] = array(code, [t.id for t in tokenize(p.encode().decode("latin-1").translate(symbols))]).tobytes()
+    def pieces_of(self, parts: list[str]) -> list[bytes]:
+        tokenize, symbols, code = self.tok.model.tokenize, self.symbols, self.code
+        return [array(code, [t.id for t in tokenize(p.translate(symbols))]).tobytes() for p in parts]
 
     def whole(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.width).tobytes() for e in self.tok.encode_batch(words, add_special_tokens=False)]
 
     def __call__(self, words: list[bytes]) -> list[bytes]:
-        words = [w.decode() for w in words]
         if not self.known:
-            return self.whole(words)
-        cut = [self.split(w) for w in words]
-        self.learn(set(chain.from_iterable(cut)))
+            return self.whole([w.decode() for w in words])
+        added = self.added
+        easy = [w.isascii() and not any([a in w for a in added]) for w in words]
+        cut = [self.split(w.decode()) for w, e in zip(words, easy) if e]
+        self.parts.learn(chain.from_iterable(cut))
         ids = self.parts
-        out = [ids[x[0]] if len(x) == 1 else b"".join([ids[p] for p in x]) for x in cut]
-        odd = [i for i, w in enumerate(words) if any([a in w for a in self.added])] if any(a in "".join(words) for a in self.added) else []
-        for i, x in zip(odd, self.whole([words[i] for i in odd])) if odd else ():
-            out[i] = x
-        return out
+        short = iter([ids[x[0]] if len(x) == 1 else b"".join([ids[p] for p in x]) for x in cut])
+        rest = iter(self.whole([w.decode() for w, e in zip(words, easy) if not e]))
+        return [next(short) if e else next(rest) for e in easy]
 
 
 _ENCODERS: dict[str, tuple[WordEncoder, Memo]] = {}
@@ -132,15 +126,18 @@ _ENCODERS: dict[str, tuple[WordEncoder, Memo]] = {}
 def encoder(path: str) -> tuple[WordEncoder, Memo]:
     if path not in _ENCODERS:
         e = WordEncoder(path)
-        _ENCODERS[path] = e, Memo(e, MEMO_WORDS)
+        _ENCODERS[path] = e, Memo(e, MEMO_BYTES)
     return _ENCODERS[path]
 
 
 # ---- the passes
 
 
-def tokenised(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
-    """(_part, doc_id, ids, id, n): the ids of each row of docs (_part, doc_id, text) as bytes, and rows (id, n) that count ids by task."""
+def tokenised(docs: DataFrame, tokenizer: str, end_id: int | None, bounds: list[int]) -> DataFrame:
+    """(_part, doc_id, ids, id, n): the ids of each row of docs (doc_id, text) as bytes, and rows (id, n) that count ids by task.
+
+    bounds are the first doc_ids of parts 1, 2 and so on, sorted; null ids belong to part 0.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, memo = encoder(tokenizer)
@@ -153,8 +150,10 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
             got = np.bincount(np.frombuffer(b"".join(ids), enc.width))
             total = np.pad(total, (0, max(0, len(got) - len(total))))
             total[: len(got)] += got
-            none = pa.nulls(len(ids), pa.int64())
-            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(ids, pa.binary()), none, none], ["_part", "doc_id", "ids", "id", "n"])
+            none, doc_id = pa.nulls(len(ids), pa.int64()), rows.column(0)
+            part = np.searchsorted(np.array(bounds, np.int64), doc_id.fill_null(0).to_numpy(), side="right")
+            part[doc_id.is_null().to_numpy(zero_copy_only=False)] = 0
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), doc_id, pa.array(ids, pa.binary()), none, none], ["_part", "doc_id", "ids", "id", "n"])
         i = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.nulls(len(i), pa.int32()), pa.nulls(len(i), pa.int64()), pa.nulls(len(i), pa.binary()), pa.array(i, pa.int64()), pa.array(total[i])], ["_part", "doc_id", "ids", "id", "n"])
 
@@ -171,10 +170,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int |
     own = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     parts = parts or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     bounds = own.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5], 10_000).alias("b")).first()["b"] or []
-    bounds = ",".join(f"{b}L" for b in sorted(set(bounds)))
-    part = F.coalesce(F.expr(f"aggregate(array({bounds}), 0, (n, b) -> n + if(doc_id >= b, 1, 0))"), F.lit(0)) if bounds else F.lit(0)
+    bounds = sorted(set(bounds))
     waiting = scratch_path(spark, "token-ids")
-    tokenised(own.select(part.cast("int").alias("_part"), "doc_id", "text"), tokenizer, end_id).write.option("compression", "zstd").parquet(waiting)
+    tokenised(own, tokenizer, end_id, bounds).write.option("compression", "zstd").parquet(waiting)
     waiting = spark.read.parquet(waiting)
     counted = waiting.where("id is not null").groupBy("id").agg(F.sum("n").alias("n")).collect()  # at most one row for each id of the vocabulary
     by_rank = sorted(counted, key=lambda r: (-r["n"], r["id"]))

@@ -10,17 +10,19 @@ the worst piece and are spelt in byte pieces.
 
 No piece goes on after a space that follows something else (checked when a model is loaded) and none holds a line feed, so
 the best path of a text is that of its units, runs of spaces and what follows them, one after the other. Each distinct unit is
-decoded once: all units of about the same length step through the trie together in numpy, long ones alone.
+decoded once: all units of about the same length step through the trie together in numpy. A long unit, such as a text without spaces, is
+cut where no piece lies across, which every path passes; so its parts go side by side too, and only parts that overlapping pieces hold
+together for more than SIDE_BY_SIDE bytes are decoded alone.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,8 @@ from ._batches import Memo, as_bytes, pieces
 MARKER = "▁"
 OFFSET = 10.0
 UNKNOWN = 10.0
-MEMO_UNITS = 600_000
+#: What each worker's memo of units may take.
+MEMO_BYTES = 128 << 20
 #: Units up to so many bytes are decoded side by side.
 SIDE_BY_SIDE = 64
 UNITS = re.compile(rb"\n| *[^ \n]+| +").findall
@@ -232,7 +235,40 @@ class Unigram:
             out[k] = ids[::-1]
         return [np.array(x, self.width).tobytes() for x in out]
 
+    def cuts(self, unit: bytes) -> list[int]:
+        """The places of a unit, its ends among them, that neither a piece nor a character lies across."""
+        base, check, value = self.trie.arrays
+        text = np.frombuffer(unit, np.uint8)
+        n = len(text)
+        start = (text & 0xC0) != 0x80
+        start[0] = True
+        live = np.flatnonzero(start)
+        reach = np.arange(n)
+        reach[live] = np.append(live[1:], n)
+        s = np.zeros(len(live), np.int32)
+        for j in range(self.longest):
+            inside = live + j < n
+            live, s = live[inside], s[inside]
+            t = base[s] + text[live + j] + 1
+            ok = check[t] == s
+            live, s = live[ok], t[ok]
+            if not len(live):
+                break
+            end = value[s] >= 0
+            at = live[end]
+            reach[at] = np.maximum(reach[at], at + j + 1)
+        far = np.concatenate([[0], np.maximum.accumulate(reach)])
+        return np.flatnonzero((far <= np.arange(n + 1)) & np.append(start, True)).tolist()
+
     def __call__(self, units: list[bytes]) -> list[bytes]:
+        parts = {u: [u[a:e] for a, e in itertools.pairwise(self.cuts(u))] for u in units if len(u) > SIDE_BY_SIDE}
+        if not parts:
+            return self.each(units)
+        short = list({u for u in units if u not in parts} | {x for p in parts.values() for x in p})
+        ids = dict(zip(short, self.each(short)))
+        return [b"".join([ids[x] for x in parts[u]]) if u in parts else ids[u] for u in units]
+
+    def each(self, units: list[bytes]) -> list[bytes]:
         out: dict[bytes, bytes] = {}
         by_size: dict[int, list[bytes]] = {}
         for u in units:
@@ -247,7 +283,7 @@ class Unigram:
 
     def encode_with(self, memo: Memo, texts: list[bytes]) -> list[np.ndarray]:
         units = [UNITS(b" " + t) if t else [] for t in texts]
-        memo.learn(chain.from_iterable(units))
+        memo.learn(itertools.chain.from_iterable(units))
         return [np.frombuffer(b"".join(map(memo.__getitem__, x)), self.width) for x in units]
 
     def decode(self, ids: np.ndarray) -> bytes:
@@ -257,7 +293,7 @@ class Unigram:
 @cache
 def loaded(path: str) -> tuple[Unigram, Memo]:
     m = Unigram(path)
-    return m, Memo(m, MEMO_UNITS)
+    return m, Memo(m, MEMO_BYTES)
 
 
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
