@@ -12,11 +12,12 @@ of all suffixes are sampled. The windows that sample one suffix are consecutive:
 3. The others are joined back to their texts (shuffled once; the last join with the texts uses the same exchange), which yields each
    one's context: the symbols of all its windows. Contexts meet by gram; the operator's own ``solve`` decides within a group, exactly,
    which windows are equal, and returns the repeated ones as ranges of starts.
-4. A gram that more than ``most`` suffixes share never meets as a group. Its prefix is lengthened until what shares it fits: the windows
-   that start a to b symbols before the suffix all hold the symbols from a before it to length - b behind, so halving [a, b] gives two
-   longer prefixes, counted anew. Prefixes that occur once end there, those that fit are solved as above, and the
-   longest are whole windows, which are repeated if they occur twice, however often that is. Keys with more than ``most``
-   members are known before anything is shuffled by them, and are marked by a join with their (counted) list instead.
+4. A gram that more than ``most`` suffixes share never meets as a group. First, equal contexts are counted: all windows of one that occurs
+   twice are repeated, and one suffix stands for it. Where more than ``most`` different contexts are left, the prefix is lengthened
+   until what shares it fits: the windows that start a to b symbols before the suffix all hold the symbols from a before it to
+   length - b behind, so halving [a, b] gives two longer prefixes with shorter contexts, which may be equal and are counted anew. The
+   longest prefixes are whole windows, of which there is one context. Keys with many members are only counted and
+   joined with their (counted) list; no group of them is gathered anywhere.
 5. Ranges go back to their texts.
 """
 
@@ -131,6 +132,10 @@ def values_of(text: pa.Array, words: bool) -> tuple[np.ndarray, np.ndarray]:
 PACK = 12  # bits of each of the two offsets beside the place
 TEXT = ["_t1", "_t2"]  # 128 bits that tell texts apart
 KEY = ["k1", "k2"]
+SAME = ["c1", "c2"]
+BATCH = 4096  # contexts that are solved together where groups are smaller
+SUFFIX = [*TEXT, "p", "context", "lo", "hi"]
+SUFFIX_DDL = "_t1 long, _t2 long, p long, context binary, lo int, hi int"
 
 
 def small(df: DataFrame, rows: int, most: int) -> DataFrame:
@@ -232,7 +237,7 @@ def decided(near: DataFrame, most: int, solve: Callable) -> DataFrame:
         for b in batches:
             held.append(pa.Table.from_batches([b]))
             size += b.num_rows
-            if size < most:
+            if size < BATCH:
                 continue
             t = pa.concat_tables(held)
             k1, k2 = (t.column(c).to_numpy() for c in KEY)
@@ -262,9 +267,8 @@ def hot_contexts(distinct: DataFrame, spots: DataFrame, hot: DataFrame, n_hot: i
     def whole(rows: pa.RecordBatch, text: pa.Array, row: np.ndarray, at: np.ndarray, least: np.ndarray, far: np.ndarray) -> pa.RecordBatch:
         own = [pa.array(column(rows, c).to_numpy()[row]) for c in TEXT]
         ends = [pa.array(np.full(len(row), x, np.int32)) for x in (0, length - gram)]
-        return pa.RecordBatch.from_arrays([*own, pa.array(at << 2 * PACK | least << PACK | far), cut_contexts(text, words, length, row, at, least, far), *ends], [*TEXT, "p", "context", "lo", "hi"])
+        return pa.RecordBatch.from_arrays([*own, pa.array(at << 2 * PACK | least << PACK | far), cut_contexts(text, words, length, row, at, least, far), *ends], SUFFIX)
 
-    kind = "_t1 long, _t2 long, p long, context binary, lo int, hi int"
     if n_hot <= broadcast_rows:  # the list goes along with the function: each text is sampled and cut where it lies
         listed = np.sort(np.array([r[0] for r in hot.collect()], np.int64).view(U))
 
@@ -275,7 +279,7 @@ def hot_contexts(distinct: DataFrame, spots: DataFrame, hot: DataFrame, n_hot: i
                 if mine.any():
                     yield whole(rows, text, row[mine], at[mine], least[mine], far[mine])
 
-        return materialise(distinct.mapInArrow(sample, kind), "hot-contexts")
+        return materialise(distinct.mapInArrow(sample, SUFFIX_DDL), "hot-contexts")
 
     def joined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, text in pieces(batches, "text", 1 << 20):
@@ -284,51 +288,65 @@ def hot_contexts(distinct: DataFrame, spots: DataFrame, hot: DataFrame, n_hot: i
             yield whole(rows, text, np.repeat(np.arange(len(counts)), counts), *unpacked(found.flatten().to_numpy()))
 
     found = spots.join(hot, "g").groupBy(*TEXT).agg(F.collect_list("p").alias("_found"))
-    return materialise(distinct.join(found, TEXT).mapInArrow(joined, kind), "hot-contexts")
+    return materialise(distinct.join(found, TEXT).mapInArrow(joined, SUFFIX_DDL), "hot-contexts")
 
 
 def longer_prefixes(hot: DataFrame, words: bool, length: int, gram: int, most: int, solve: Callable, broadcast_rows: int) -> Iterator[DataFrame]:
     """Ranges of repeated windows (as ``decided``) of suffixes whose group is too large, by prefixes that get longer from round to round."""
 
+    def pair(digests: list[bytes]) -> list[pa.Array]:
+        k = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+        return [pa.array(k[:, 0]), pa.array(k[:, 1])]
+
+    def named(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Adds the digests of the context with its offsets and of the prefix that stands for offsets lo to hi."""
+        for b in batches:
+            _, least, far = unpacked(column(b, "p").to_numpy())
+            same, core = [], []
+            for c, t, f, lo, hi in zip(column(b, "context").to_pylist(), least.tolist(), far.tolist(), column(b, "lo").to_pylist(), column(b, "hi").to_pylist()):
+                c = c.split() if words else c
+                x = c[f - lo : f + length - hi]
+                c, x = (b" ".join(c), b" ".join(x)) if words else (c, x)
+                core.append(blake2b(x, digest_size=16, salt=b"%d %d" % (lo, hi)).digest())
+                same.append(blake2b(c, digest_size=16, salt=b"%d %d %d" % (t, f, hi)).digest())
+            yield pa.RecordBatch.from_arrays([*pair(same), *pair(core), *b.columns], [*SAME, *KEY, *SUFFIX])
+
     def halves(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, row, ps, los, his, said = [], [], [], [], [], []
+            row, ps, said, los, his = [], [], [], [], []
             at, least, far = unpacked(column(b, "p").to_numpy())
             for i, (x, c, t, f, lo, hi) in enumerate(zip(at.tolist(), column(b, "context").to_pylist(), least.tolist(), far.tolist(), column(b, "lo").to_pylist(), column(b, "hi").to_pylist())):
-                c = c.split() if words else c
-                mid = (lo + hi) // 2
+                c, mid = c.split() if words else c, (lo + hi) // 2
                 for u, v in ((lo, mid), (mid + 1, hi)):
                     s, e = max(t, u), min(f, v)
-                    if s > e or u > v:
-                        continue
-                    part = c[f - e : f + length - s]  # all windows that start s to e symbols before the suffix
-                    core = part[e - u : e + length - v]
-                    part, core = (b" ".join(part), b" ".join(core)) if words else (part, core)
-                    keys.append(blake2b(core, digest_size=16, salt=b"%d %d" % (u, v)).digest())
-                    row.append(i)
-                    ps.append(x << 2 * PACK | s << PACK | e)
-                    los.append(u)
-                    his.append(v)
-                    said.append(b"" if u == v else part)
-            k = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
+                    if s <= e:
+                        part = c[f - e : f + length - s]  # the windows that start s to e symbols before the suffix
+                        row.append(i)
+                        ps.append(x << 2 * PACK | s << PACK | e)
+                        said.append(b" ".join(part) if words else part)
+                        los.append(u)
+                        his.append(v)
             own = [column(b, c).take(pa.array(row, pa.int64())) for c in TEXT]
-            yield pa.RecordBatch.from_arrays([pa.array(k[:, 0]), pa.array(k[:, 1]), *own, pa.array(ps, pa.int64()), pa.array(said, pa.binary()), pa.array(los, pa.int32()), pa.array(his, pa.int32())], [*KEY, *TEXT, "p", "context", "lo", "hi"])
-
-    for _ in range((length - gram).bit_length()):
-        split = hot.mapInArrow(halves, "k1 long, k2 long, _t1 long, _t2 long, p long, context binary, lo int, hi int")
-        shared = materialise(split.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared-prefixes")
-        large = shared.where(F.col("n") > most).select(*KEY)
-        n_large = large.count()
-        calm = split.join(small(large, n_large, broadcast_rows), KEY, "left_anti") if n_large else split
-        fit = calm.join(shared.select(*KEY), KEY)
-        yield decided(fit.where("lo < hi").select(*KEY, *TEXT, "p", "context"), most, solve)
-        start = F.shiftright("p", 2 * PACK) - F.col("lo")
-        yield fit.where("lo = hi").select(*TEXT, start.alias("a"), start.alias("b"))
+            yield pa.RecordBatch.from_arrays([*own, pa.array(ps, pa.int64()), pa.array(said, pa.binary()), pa.array(los, pa.int32()), pa.array(his, pa.int32())], SUFFIX)
+
+    at, least, far = F.shiftright("p", 2 * PACK), F.shiftright("p", PACK).bitwiseAND((1 << PACK) - 1), F.col("p").bitwiseAND((1 << PACK) - 1)
+    member = F.struct(*TEXT, "p")
+    while True:
+        rows = hot.mapInArrow(named, f"c1 long, c2 long, k1 long, k2 long, {SUFFIX_DDL}")
+        same = rows.groupBy(*SAME).agg(F.count(F.lit(1)).alias("n"), F.min(member).alias("s"), *[F.first(k).alias(k) for k in KEY])
+        same = materialise(same.select(*SAME, *KEY, "n", "s.*"), "contexts")
+        twice = same.where("n > 1").select(*SAME)
+        yield rows.join(small(twice, twice.count(), broadcast_rows), SAME).select(*TEXT, (at - far).alias("a"), (at - least).alias("b"))
+        groups = materialise(same.groupBy(*KEY).agg(F.count(F.lit(1)).alias("d")).where("d > 1"), "prefixes")
+        stands = materialise(same.join(small(groups, groups.count(), broadcast_rows), KEY).select(*SAME, *TEXT, "p", "d"), "stand-ins")
+        n, n_large = stands.agg(F.count(F.lit(1)), F.count_if(F.col("d") > most)).first()
+        if not n:
+            return
+        chosen = rows.join(small(stands, n, broadcast_rows), [*SAME, *TEXT, "p"])
+        yield decided(chosen.where(F.col("d") <= most).select(*KEY, *TEXT, "p", "context"), most, solve)
         if not n_large:
             return
-        over = split.join(small(large, n_large, broadcast_rows), KEY)
-        yield over.where("lo = hi").select(*TEXT, start.alias("a"), start.alias("b"))
-        hot = materialise(over.where("lo < hi").select(*TEXT, "p", "context", "lo", "hi"), "hot-contexts")
+        hot = materialise(chosen.where(F.col("d") > most).select(*SUFFIX).mapInArrow(halves, SUFFIX_DDL), "hot-contexts")
 
 
 def covered(ranges: pa.ListArray | None, i: int, n: int, length: int) -> np.ndarray | None:

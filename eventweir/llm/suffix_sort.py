@@ -131,13 +131,14 @@ def solver(length: int):
     return solve
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 64, most: int = 4096, id_col: str = "doc_id", text_col: str = "text", texts: bool = False, broadcast_rows: int = 1 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 64, most: int = 1 << 15, id_col: str = "doc_id", text_col: str = "text", texts: bool = False, broadcast_rows: int = 1 << 20) -> DataFrame:
     """One row per input row: id_col, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, or kept (binary) if texts.
 
     A byte of the UTF-8 text goes if it lies in a string of ``length`` bytes that starts anywhere else too, in the same text or
     another; strings are judged on the input and may overlap. Null texts are empty; repeated rows are each other's repeats; null ids
     stay null; an empty table gives an empty result; other columns, whatever their names, aren't looked at. Lists of copied texts and of
-    prefixes with over ``most`` members are broadcast only up to ``broadcast_rows`` counted rows.
+    prefixes with over ``most`` members are broadcast only up to ``broadcast_rows`` counted rows. A group of ``most``
+    contexts takes about 300 MB to solve.
     """
 
     def answer(text: bytes, gone) -> tuple:
