@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources import scratch
+
 KEY = ["stream_id", "event_id"]
 
 
@@ -37,10 +37,13 @@ def _doubled(state: DataFrame) -> DataFrame:
 
 
 def _kept(state: DataFrame) -> DataFrame:
-    spark = state.sparkSession
-    path = f"{(spark.conf.get('spark.checkpoint.dir', None) or 'file:///tmp/eventweir').rstrip('/')}/paths-{uuid.uuid4().hex}"
-    state.write.parquet(path)
-    return spark.read.schema(state.schema).parquet(path)
+    return scratch.kept(state, "paths")
+
+
+def parent_cycles(events: DataFrame) -> DataFrame:
+    """(stream_id, event_id) of causal events on or below a cycle of parents: those whose chain reaches no root."""
+    causal = events.where("not is_background")
+    return causal.select(*KEY).distinct().join(paths(causal.dropDuplicates(KEY)).select(*KEY), KEY, "left_anti")
 
 
 def dag_check(edges: DataFrame, nodes: DataFrame, max_depth: int | None = None) -> DataFrame:

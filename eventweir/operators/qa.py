@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,7 +49,28 @@ KINDS = (direct_parent, root_cause, temporal_order, time_delay, causal_path)
 
 
 def all_pairs(events: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionAll, [f(events) for f in KINDS])
+    """Every kind of pair. One aggregate of each stream gives all but the path, whose event it names."""
+    c, bg = F.col, F.col("is_background")
+    deep = F.max(F.when(~bg, F.struct("depth", "us", "event_id", "parent_id", "root_id")))
+    first = F.min(F.when(~bg & c("parent_id").isNotNull(), F.struct("depth", "us", "pos", "event_id", "parent_id", "delta_us")))
+    own = events.groupBy("stream_id").agg(deep.alias("e"), first.alias("f"), F.array_sort(F.collect_list(F.struct("us", "event_id"))).alias("o"))
+    order = F.concat(F.lit("["), F.array_join(F.transform("o", lambda x: x["event_id"].cast("string")), ", "), F.lit("]"))
+
+    def pair(kind: str, target: Column, answer: Column, there: Column, source: Column | None = None) -> Column:
+        s = F.struct(F.lit(kind).alias("qa_type"), target.cast("bigint").alias("t"), (source if source is not None else F.lit(None)).cast("bigint").alias("s"), answer.cast("string").alias("a"))
+        return F.when(there, s)
+
+    each = F.array_compact(
+        F.array(
+            pair("direct_parent", c("e.event_id"), c("e.parent_id"), c("e.parent_id").isNotNull()),
+            pair("root_cause", c("e.event_id"), c("e.root_id"), c("e").isNotNull()),
+            pair("temporal_order", F.lit(None), order, F.lit(True)),
+            pair("time_delay", c("f.event_id"), c("f.delta_us"), c("f").isNotNull(), c("f.parent_id")),
+        )
+    )
+    x = own.select("stream_id", F.explode(each).alias("x"))
+    four = x.select("stream_id", F.concat(c("stream_id").cast("string"), F.lit("_qa_"), "x.qa_type", F.lit("_1")).alias("qa_id"), "x.qa_type", c("x.t").alias("target_event_id"), c("x.s").alias("source_event_id"), c("x.a").alias("answer"))
+    return four.unionByName(causal_path(events))
 
 
 def label_check(qa: DataFrame, events: DataFrame) -> DataFrame:
@@ -65,11 +84,37 @@ def label_check(qa: DataFrame, events: DataFrame) -> DataFrame:
     return wrong.unionAll(none)
 
 
-def render(events: DataFrame) -> DataFrame:
-    """The input text of a stream's examples: its events in time order, without any simulator label."""
-    line = F.concat(F.lit("- event_id="), F.col("event_id").cast("string"), F.lit("; timestamp="), F.col("us").cast("string"), F.lit("; event="), F.col("event_type"))
+def event_label(event_id: Column, event_type: Column, semantic: Column) -> Column:
+    return F.concat(F.lit("event "), event_id.cast("string"), F.lit(" ["), event_type, F.lit("]"), F.when(F.coalesce(semantic, F.lit("")) != "", F.concat(F.lit(" ("), semantic, F.lit(")"))).otherwise(""))
+
+
+def answer_text(values: Column) -> Column:
+    """A list as JSON text with a space behind each comma."""
+    return F.concat(F.lit("["), F.array_join(F.transform(values, lambda v: F.regexp_replace(F.to_json(F.array(v)), r"^\[|\]$", "")), ", "), F.lit("]"))
+
+
+def render(events: DataFrame, streams: DataFrame | None = None) -> DataFrame:
+    """The input text of a stream's examples: its events in time order, without any simulator label. An event is told by its semantic type, if
+    there is such a column and it isn't empty, else by its type. With streams (stream_id, domain, topology) the text says these too."""
+    kind = F.coalesce(F.nullif(F.col("semantic_type"), F.lit("")), "event_type") if "semantic_type" in events.columns else F.col("event_type")
+    line = F.concat(F.lit("- event_id="), F.col("event_id").cast("string"), F.lit("; timestamp="), F.col("us").cast("string"), F.lit("; event="), F.coalesce(kind, F.lit("event")))
     lines = F.transform(F.array_sort(F.collect_list(F.struct("us", "event_id", line.alias("s")))), lambda x: x["s"])
-    return events.groupBy("stream_id").agg(F.concat(F.lit("Event stream:\nevents in timestamp order:\n"), F.array_join(lines, "\n")).alias("input"))
+    text = events.groupBy("stream_id").agg(F.array_join(lines, "\n").alias("lines"))
+    if streams is None:
+        return text.select("stream_id", F.concat(F.lit("Event stream:\nevents in timestamp order:\n"), "lines").alias("input"))
+    said = lambda c: F.coalesce(c, F.lit("unknown"))
+    about = streams.select("stream_id", F.concat(F.lit("domain="), said("domain"), F.lit("\ntopology="), said("topology")).alias("about"))
+    about = text.join(about, "stream_id", "left").withColumn("about", F.coalesce("about", F.lit("domain=unknown\ntopology=unknown")))
+    return about.select("stream_id", F.concat(F.lit("Event stream:\n"), "about", F.lit("\nevents in timestamp order:\n"), "lines").alias("input"))
+
+
+METADATA = ("domain", "topology", "mechanism_type", "primary_regime", "semantic_method", "semantic_skeleton_version", "semantic_compatibility")
+
+
+def metadata(streams: DataFrame) -> DataFrame:
+    """(stream_id, metadata): what examples say about their stream; what a table lacks is null."""
+    has = [F.col(c).cast("string").alias(c) if c in streams.columns else F.lit(None).cast("string").alias(c) for c in METADATA]
+    return streams.select("stream_id", F.struct(*has).alias("metadata"))
 
 
 def question(kind: Column, target: Column, source: Column) -> Column:
@@ -83,12 +128,15 @@ def question(kind: Column, target: Column, source: Column) -> Column:
     )
 
 
-def export_instruction(qa: DataFrame, events: DataFrame) -> DataFrame:
-    j = qa.join(render(events), "stream_id")
-    return j.select(F.concat_ws(":", F.col("stream_id").cast("string"), "qa_id").alias("example_id"), F.col("qa_type").alias("task_type"), question(F.col("qa_type"), F.col("target_event_id"), F.col("source_event_id")).alias("instruction"), "input", F.col("answer").alias("output"))
+def export_instruction(qa: DataFrame, events: DataFrame, streams: DataFrame | None = None) -> DataFrame:
+    """Examples; with streams their input names domain and topology, and a metadata column comes along."""
+    j = qa.join(render(events, streams), "stream_id")
+    if streams is not None:
+        j = j.join(metadata(streams), "stream_id", "left")
+    return j.select(*(["metadata"] if streams is not None else []), F.concat_ws(":", F.col("stream_id").cast("string"), "qa_id").alias("example_id"), F.col("qa_type").alias("task_type"), question(F.col("qa_type"), F.col("target_event_id"), F.col("source_event_id")).alias("instruction"), "input", F.col("answer").alias("output"))
 
 
-def export_chat(qa: DataFrame, events: DataFrame, system: str = "You reason about event streams.") -> DataFrame:
-    x = export_instruction(qa, events)
+def export_chat(qa: DataFrame, events: DataFrame, system: str = "You reason about event streams.", streams: DataFrame | None = None) -> DataFrame:
+    x = export_instruction(qa, events, streams)
     turn = lambda role, c: F.struct(F.lit(role).alias("role"), c.alias("content"))
-    return x.select("example_id", "task_type", F.array(turn("system", F.lit(system)), turn("user", F.concat_ws("\n\n", "instruction", "input")), turn("assistant", F.col("output"))).alias("messages"))
+    return x.select(*(["metadata"] if streams is not None else []), "example_id", "task_type", F.array(turn("system", F.lit(system)), turn("user", F.concat_ws("\n\n", "instruction", "input")), turn("assistant", F.col("output"))).alias("messages"))

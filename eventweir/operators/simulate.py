@@ -205,21 +205,23 @@ def draw_delay(d: Draws, regime: str, p: dict) -> float:
 
 
 def one_stream(name: str, topology: str, mechanism: str, regime: str, seed: int, attempt: int, density: str, prior: dict | None) -> list[tuple]:
-    """The events of one stream in time order. With a calibrated prior the chain of types and its delays follow it."""
+    """The events of one stream in time order. With a calibrated prior types and delays follow it, along the chain or from parent to child."""
     d, relation = Draws(seed, name, attempt), RELATION_OF[mechanism]
     parents, kinds = [-1], ["T0"]
     if prior:
+        following = lambda kind: prior["first"].get(kind) or [(s, 1.0) for s in prior["first"]]
+    if prior and topology != "tree":
         at, before = d.pick(prior["starts"]), None
         n, kinds = d.pick(prior["lengths"]), [at]
         while len(kinds) < max(2, n):
-            options = prior["second"].get((before, at)) or prior["first"].get(at) or [(s, 1.0) for s in prior["first"]]
-            before, at = at, d.pick(options)
+            before, at = at, d.pick(prior["second"].get((before, at)) or following(at))
             kinds.append(at)
         parents = [*range(-1, len(kinds) - 1)]
     elif topology == "chain":
         n = 4 + int(d.u() * 9)
         parents, kinds = [*range(-1, n - 1)], [f"T{i}" for i in range(n)]
     else:
+        kinds = [d.pick(prior["starts"])] if prior else kinds
         n, depth, kids = 6 + int(d.u() * 25), [0], [0]
         while len(parents) < n:
             room = [i for i in range(len(parents)) if depth[i] < 6 and kids[i] < 3]
@@ -230,7 +232,7 @@ def one_stream(name: str, topology: str, mechanism: str, regime: str, seed: int,
             parents.append(p)
             depth.append(depth[p] + 1)
             kids.append(0)
-            kinds.append(f"T{len(parents) - 1}")
+            kinds.append(d.pick(following(kinds[p])) if prior else f"T{len(parents) - 1}")
     deep = [0] * len(parents)
     for i, p in enumerate(parents[1:], 1):
         deep[i] = deep[p] + 1
@@ -288,12 +290,16 @@ def simulate(samples: DataFrame, seed: int = 42, attempt: int = 0, density: str
     return samples.select("stream_id", "topology", "mechanism_type", "primary_regime").mapInPandas(run, OUT)
 
 
-def load_prior(events: DataFrame, min_samples: int = 20, alpha: float = 0.01, temperature: float = 1.0) -> dict:
-    """A calibrated prior for the kernel: tables over event types, bounded by the vocabulary of types."""
+def load_prior(events: DataFrame, min_samples: int = 20, alpha: float = 0.01, temperature: float = 1.0, max_rows: int = 1 << 20) -> dict:
+    """A calibrated prior for the kernel: tables over event types, held by the driver and sent to every task. They grow with the vocabulary of
+    types, not with the events; a vocabulary that would take more than ``max_rows`` rows is refused."""
     from .fitting import calibrate
     from .transitions import second_order_probs, sequence_length_hist, smoothed_weights, start_events, transition_probs
 
     probs = transition_probs(events)
+    n_types, n_triples = probs.select("source").distinct().count(), second_order_probs(events).count()
+    if max(n_types**2, n_triples) > max_rows:
+        raise ValueError(f"a prior of {n_types} types and {n_triples} triples is more than {max_rows} rows; merge rare types first")
     first: dict = {}
     for r in smoothed_weights(probs, alpha, temperature).where("weight > 0").orderBy("source", "target").collect():
         first.setdefault(r["source"], []).append((r["target"], r["weight"]))

@@ -5,9 +5,13 @@ Events are ordered within a stream by (us, event_type). One shuffle by stream se
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quality import ranked
+
 def in_order():
     return Window.partitionBy("stream_id").orderBy("us", "event_type")
 
@@ -62,12 +66,17 @@ def delta_summary_levels(events: DataFrame) -> DataFrame:
 
 
 def delta_profile(events: DataFrame) -> DataFrame:
-    """Linear-interpolated quantiles of all positive gaps; zeros without any."""
+    """Linear-interpolated quantiles of all positive gaps; zeros without any. The quantiles are exact and no task sees all gaps."""
     d = positive(steps(events)).select(seconds(F.col("ab")).alias("d"))
-    q = F.percentile("d", F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95)))
-    out = d.agg(F.count("d").alias("n"), F.min("d").alias("min_delta"), q.alias("q"), F.max("d").alias("max_delta"), F.avg("d").alias("mean_delta"))
+    shares = {"p05": 0.05, "p50": 0.5, "p95": 0.95}
+    found = ranked(d, "d", lambda n: {k: [math.floor((n - 1) * q), math.ceil((n - 1) * q)] for k, q in shares.items()})
+    n = F.count("d")
     r = lambda c: F.round(F.coalesce(c, F.lit(0.0)), 6)
-    return out.select("n", r(F.col("min_delta")).alias("min_delta"), r(F.col("q")[0]).alias("p05"), r(F.col("q")[1]).alias("p50"), r(F.col("q")[2]).alias("p95"), r(F.col("max_delta")).alias("max_delta"), r(F.col("mean_delta")).alias("mean_delta"))
+    out = d.agg(n.alias("n"), r(F.min("d")).alias("min_delta"), r(F.max("d")).alias("max_delta"), r(F.avg("d")).alias("mean_delta"))
+    low = {k: F.lit(found[k][0] if found else 0.0) for k in shares}
+    high = {k: F.lit(found[k][1] if found else 0.0) for k in shares}
+    part = {k: (F.greatest(F.col("n") - 1, F.lit(0)) * q) % 1 for k, q in shares.items()}
+    return out.select("n", "min_delta", *[r(low[k] + (high[k] - low[k]) * part[k]).alias(k) for k in shares], "max_delta", "mean_delta")
 
 
 def start_events(events: DataFrame) -> DataFrame:
@@ -102,6 +111,16 @@ def history_state(events: DataFrame, window_us: int = 2_000_000, burst: int = 3)
     )
 
 
+def active_sources(events: DataFrame) -> DataFrame:
+    """Per event how many different roots the causal events of its stream up to it have, one at least. events: (stream_id, us, event_id,
+    is_background, root_id)."""
+    known = ~F.col("is_background") & F.col("root_id").isNotNull()
+    first = F.row_number().over(Window.partitionBy("stream_id", "root_id", known).orderBy("us", "event_id")) == 1
+    so_far = Window.partitionBy("stream_id").orderBy("us", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    rows = events.withColumn("_new", (known & first).cast("int"))
+    return rows.select("stream_id", "event_id", F.greatest(F.sum("_new").over(so_far), F.lit(1)).alias("active_sources"))
+
+
 def min_gaps(events: DataFrame) -> DataFrame:
     own = in_order()
     gaps = events.select("stream_id", (F.col("us") - F.lag("us").over(own)).alias("gap"))

@@ -21,6 +21,10 @@ def parent_join(events: DataFrame) -> DataFrame:
     return events.join(p, ["stream_id", "parent_id"], "left")
 
 
+def finite(x: Column) -> Column:
+    return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+
+
 def errors(rows: DataFrame, rules: list[tuple[Column, Column | str]]) -> DataFrame:
     """(stream_id, event_id, error) of each rule that a row breaks."""
     said = F.array_compact(F.array(*[F.when(F.coalesce(test, F.lit(False)), F.lit(m) if isinstance(m, str) else m) for test, m in rules]))
@@ -28,7 +32,8 @@ def errors(rows: DataFrame, rules: list[tuple[Column, Column | str]]) -> DataFra
 
 
 def structural_errors(events: DataFrame) -> DataFrame:
-    """Duplicate ids, bad times and relations, and for causal events their parents, roots and depths. A missing parent ends an event's checks."""
+    """Duplicate ids, bad times and relations, and for causal events their parents, roots and depths. A missing parent ends an event's checks.
+    If there is a timestamp column, its values must be finite; cycles of parents are graph.parent_cycles' part."""
     n = F.count(F.lit(1)).over(Window.partitionBy("stream_id", "event_id"))
     j = parent_join(events.withColumn("n_same", n))
     c = F.col
@@ -39,7 +44,7 @@ def structural_errors(events: DataFrame) -> DataFrame:
         j,
         [
             (c("n_same") > 1, "duplicate event_id"),
-            (c("us") < 0, "invalid timestamp"),
+            ((c("us") < 0) | (~finite(c("timestamp")) if "timestamp" in events.columns else F.lit(False)), "invalid timestamp"),
             (c("relation").isNotNull() & ~c("relation").isin(*RELATIONS), "invalid relation type"),
             (bg & (~rooted | c("root_id").isNotNull()), "background event has causal ids"),
             (~bg & rooted & ~c("root_id").eqNullSafe(c("event_id")), "incorrect root_id"),
@@ -54,10 +59,23 @@ def structural_errors(events: DataFrame) -> DataFrame:
 
 
 def temporal_errors(events: DataFrame, tolerance_us: int = 1, extreme_us: int = 10**12) -> DataFrame:
-    """Gaps to parents: positive, as stored, not extreme. A gap that isn't positive ends an event's checks."""
+    """Gaps to parents: positive, as stored, not extreme; where there are columns regime and regime_params (a map), the regime must be there,
+    known and its parameters valid. A gap that isn't positive ends an event's checks."""
     j = parent_join(events).where("not is_background and p_us is not null")
     c, ok = F.col, F.coalesce(F.col("delta_us") > 0, F.lit(False))
-    return errors(j, [(~ok, "non-positive delta_t"), (ok & (F.abs(c("us") - c("p_us") - c("delta_us")) > tolerance_us), "delta_t mismatch"), (ok & (c("delta_us") > extreme_us), "extreme delta_t")])
+    rules = [(~ok, "non-positive delta_t"), (ok & (F.abs(c("us") - c("p_us") - c("delta_us")) > tolerance_us), "delta_t mismatch"), (ok & (c("delta_us") > extreme_us), "extreme delta_t")]
+    if "regime" in events.columns:
+        rules.append((ok & c("regime").isNull(), "no regime"))
+        rules.append((ok & c("regime").isNotNull() & ~c("regime").isin(*PARAMETERS), "unknown regime"))
+        if "regime_params" in events.columns:
+            rules.append((ok & c("regime").isin(*PARAMETERS) & ~params_valid(c("regime"), c("regime_params")), "invalid regime params"))
+    return errors(j, rules)
+
+
+def stored_gaps(events: DataFrame, order: str = "pos") -> DataFrame:
+    """Per stream, over the order in which events are stored, not over time: the least gap and whether times never go back."""
+    gap = F.col("us") - F.lag("us").over(Window.partitionBy("stream_id").orderBy(order))
+    return events.select("stream_id", gap.alias("gap")).groupBy("stream_id").agg(F.min("gap").alias("min_gap_us"), F.count(F.lit(1)).alias("n"), (F.coalesce(F.min("gap"), F.lit(0)) >= 0).alias("is_sorted"))
 
 
 def temporal_metrics(events: DataFrame) -> DataFrame:
@@ -71,11 +89,13 @@ def temporal_metrics(events: DataFrame) -> DataFrame:
 
 
 def stream_errors(metrics: DataFrame, min_gaps: DataFrame, min_events: int = 5, max_events: int = 80, ratio: tuple[float, float] = (0.0, 0.75), min_gap_us: int = 1) -> DataFrame:
-    j = metrics.join(min_gaps.select("stream_id", "min_gap_us"), "stream_id", "left").withColumn("event_id", F.lit(None).cast("bigint"))
+    j = metrics.join(min_gaps.drop("n"), "stream_id", "left").withColumn("event_id", F.lit(None).cast("bigint"))
     c = F.col
+    late = [(~c("is_sorted"), "events are not sorted by timestamp")] if "is_sorted" in min_gaps.columns else []
     return errors(
         j,
         [
+            *late,
             (c("min_gap_us") < min_gap_us, "sequence is too dense"),
             ((c("event_count") < min_events) | (c("event_count") > max_events), "event count outside configured range"),
             ((c("background_ratio") < ratio[0]) | (c("background_ratio") > ratio[1]), "background ratio outside configured range"),
@@ -98,6 +118,37 @@ def params_valid(regime: Column, params: Column) -> Column:
     return tests
 
 
+def mechanism_errors(nodes: DataFrame, edges: DataFrame, events: DataFrame) -> DataFrame:
+    """(stream_id, error) where mechanism and events disagree: nodes (stream_id, node_id) that no causal event stands for, edges
+    (stream_id, source, target, relation) with an end that is no node or a relation that isn't known."""
+    silent = nodes_without_event(nodes, events.where("not is_background and node_id is not null"))
+    lost = dangling_edges(edges, nodes.select("stream_id", F.col("node_id").alias("node")))
+    odd = edges.where(~F.coalesce(F.col("relation").isin(*RELATIONS), F.lit(False)))
+    said = [
+        silent.select("stream_id", F.concat(F.lit("mechanism node "), "node_id", F.lit(" has no event")).alias("error")),
+        lost.select("stream_id", F.concat(F.lit("mechanism edge "), "missing", F.lit(" "), F.when(F.col("missing") == "source", F.col("source")).otherwise(F.col("target")), F.lit(" has no node")).alias("error")),
+        odd.select("stream_id", F.concat(F.lit("mechanism edge "), "source", F.lit("->"), "target", F.lit(" has invalid relation type")).alias("error")),
+    ]
+    return reduce(DataFrame.unionAll, said)
+
+
+def tree_errors(edges: DataFrame, events: DataFrame, trees: DataFrame, max_children: int | None = 3, max_depth: int | None = 6) -> DataFrame:
+    """(stream_id, error) of streams in trees (stream_id) with a node of too many children or an event too deep."""
+    out = trees.select("stream_id", F.lit(None).cast("string").alias("error")).where("false")
+    if max_children is not None:
+        wide = fanout_violations(edges, max_children).join(trees.select("stream_id"), "stream_id", "left_semi")
+        out = out.unionAll(wide.select("stream_id", F.concat(F.lit("too many tree children for "), F.col("source").cast("string"), F.lit(": "), F.col("children").cast("string")).alias("error")))
+    if max_depth is not None:
+        deep = events.where(~F.col("is_background") & (F.col("depth") > max_depth)).join(trees.select("stream_id"), "stream_id", "left_semi")
+        out = out.unionAll(deep.select("stream_id", F.concat(F.lit("tree event "), F.col("event_id").cast("string"), F.lit(" exceeds max depth")).alias("error")))
+    return out
+
+
+def merge_rejected(rejected: DataFrame, gated: DataFrame) -> DataFrame:
+    """Rejected streams and those a quality gate turned away, (stream_id, stage, approved, errors)."""
+    return rejected.select("stream_id", "stage", "approved", "errors").unionByName(gated.select("stream_id", "stage", F.lit(False).alias("approved"), F.col("issues").alias("errors")))
+
+
 def nodes_without_event(nodes: DataFrame, events: DataFrame) -> DataFrame:
     return nodes.join(events.select("stream_id", "node_id"), ["stream_id", "node_id"], "left_anti")
 

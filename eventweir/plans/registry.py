@@ -256,7 +256,7 @@ def fit_regimes(spark, d):
 
 
 @query(f"""WITH {GAPS_SQL}, t AS (SELECT source, target, count(*) AS n FROM g GROUP BY source, target)
-SELECT source, target, n, CASE WHEN n >= 400 THEN 'transition' WHEN sum(n) OVER (PARTITION BY source) >= 1900 THEN 'event_type' WHEN false THEN '' ELSE CASE WHEN sum(n) OVER (PARTITION BY source) >= 400 THEN 'event_type' WHEN sum(n) OVER () >= 400 THEN 'domain' ELSE 'generic' END END AS backoff_source FROM t""")
+SELECT source, target, n, CASE WHEN n >= 400 THEN 'transition' WHEN sum(n) OVER (PARTITION BY source) >= 400 THEN 'event_type' WHEN sum(n) OVER () >= 400 THEN 'domain' ELSE 'generic' END AS backoff_source FROM t""")
 def backoff_source(spark, d):
     return fitting.backoff_levels(S.events(spark, d), 400)
 
@@ -682,7 +682,7 @@ def edge_prior_join(spark, d):
     prior = X.positive(X.steps(g.select("stream_id", "us", "event_type"))).groupBy(F.col("a").alias("s"), F.col("b").alias("t")).agg(F.count(F.lit(1)).alias("n")).where("n >= 400")
     p = g.select("stream_id", F.col("event_id").alias("parent_id"), F.col("event_type").alias("s"))
     e = g.select("stream_id", "event_id", "parent_id", F.col("event_type").alias("t")).join(p, ["stream_id", "parent_id"])
-    return e.join(F.broadcast(prior), ["s", "t"], "left").select("stream_id", "event_id", F.when(F.col("n").isNull(), "generic_backoff").otherwise("calibrated").alias("regime"))  # prior: pairs of event types
+    return e.join(prior, ["s", "t"], "left").select("stream_id", "event_id", F.when(F.col("n").isNull(), "generic_backoff").otherwise("calibrated").alias("regime"))  # prior: pairs of event types
 
 
 def _values(name: str, xs: list[str]) -> str:
@@ -803,14 +803,11 @@ def simulate_calibrated(spark, d):
 @query(f"WITH {E_SQL}, {STEPS_SQL} SELECT a AS source, b AS target, count(*) AS n FROM x WHERE ab > 0 GROUP BY a, b")
 def stream_transitions(spark, d):
     """The batch form of the streaming fold: the same kernel's result over one run of all there is, counted."""
-    import uuid
-
+    from ..sources import scratch
     from ..streaming import folds
 
     e = folds.read_events(spark, d).select(F.col("user_id").alias("stream_id"), S.micros("ts").alias("us"), "event_type")
-    path = spark.conf.get("spark.checkpoint.dir", None) or f"file:///tmp/eventweir-stream"
-    name = f"t{uuid.uuid4().hex}"
-    out = folds.run_to_table(folds.transitions(e), name, "append", f"{path.rstrip('/')}/{name}")
+    out = folds.run_to_files(folds.transitions(e), scratch.path(spark, "stream-transitions"))
     return out.groupBy("source", "target").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -822,8 +819,12 @@ def sessions(spark, d):
 
 
 def queries() -> dict[str, Query]:
+    from . import registry_rules  # noqa: F401  # adds its own
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import registry_rules  # noqa: F401
+
     return dict(ORACLES)
