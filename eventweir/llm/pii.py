@@ -1,19 +1,24 @@
 """Personal data: fixed patterns, plus a linear-chain conditional random field over word-shape features.
 
 The patterns find e-mail addresses, IP addresses, card and phone numbers (checked by range, Luhn sum and number of digits). The
-field, trained here from a small labelled table that ``labelled_table`` writes by rule, labels the words of a line and adds spans
-that the patterns can't express: phone numbers without a plus sign, addresses spelt with "at" and "dot", and secrets (access keys,
-assigned passwords, long quoted hexadecimal tokens). Its spans never replace a pattern's: what touches one is dropped.
-
-A span of the field counts only if it holds a digit, an at-sign or the word "dot"; so lines without any of these needn't be decoded.
+field labels words and adds spans that the patterns can't express: phone numbers without a plus sign, addresses spelt with "at" and "dot",
+and secrets (access keys, passwords, tokens, headers of private keys). It is trained here from a small labelled table (pii_lines), each line
+of which is varied a few times. Its features are shapes: kinds of characters and their runs, lengths, what stands before an equals sign,
+the first letters of words with digits, the words that the table has near its spans, and the same of three words to either side. Its spans never
+replace a pattern's: what touches one is dropped.
+
+Only words near a signal (a digit, an at-sign, an equals sign, a word that the table has before a secret, ...) are decoded; all others are no
+personal data to the field.
 """
 
 from __future__ import annotations
 
 import random
 import re
-from collections.abc import Iterable, Iterator
-from functools import cache
+from bisect import bisect_left
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
+from functools import cache, lru_cache
 from hashlib import sha256
 
 import numpy as np
@@ -22,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._batches import pieces
+from .pii_lines import LINES
 
 KINDS = ("email", "ip", "card", "phone")
 MORE_KINDS = ("secret",)
@@ -74,114 +80,209 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 
 
 HAS_DIGIT = re.compile("[0-9]").search
-TRIGGERS = (re.compile("[0-9@]").search, re.compile(r"\b[dD][oO][tT]\b").search)
+TOKEN = re.compile(r"\S+")
 
+# ---- the labelled table
 
-def trigger_lines(text: str) -> list[tuple[int, int]]:
-    """(start, end) of the lines that hold a digit, an at-sign or the word dot."""
-    out = set()
-    for search in TRIGGERS:
-        at = 0
-        while m := search(text, at):
-            at = text.find("\n", m.start())
-            at = len(text) if at < 0 else at
-            out.add((text.rfind("\n", 0, m.start()) + 1, at))
-    return sorted(out)
+LABELS = ("O", "email", "email+", "phone", "phone+", "secret", "secret+")
+SPAN = re.compile(r"\{(\w+)\|(?:([^|{}]*)\|)?([^|{}]*)\}")
+AT_DOT = frozenset("at dot (at) (dot) [at] [dot]".split())
+EDGE = ".,;:!?\"'([{)]}"
 
 
-TOKEN = re.compile(r"\S+")
+def parsed(line: str) -> list[tuple[str, str, str, bool]]:
+    """(text, kind, what is kept of it, whether what follows is varied) of a line's parts; kind is empty outside spans."""
+    out, at = [], 0
+    for m in SPAN.finditer(line):
+        out += [(line[at : m.start()], "", "", True), (m[3], m[1], m[2] or "", True)]
+        at = m.end()
+    return [*out, (line[at:], "", "", True)]
+
+
+def _other(r: random.Random, s: str) -> str:
+    """Other characters of the same sorts; hexadecimal stays so."""
+    small = "abcdef" if re.fullmatch(r"[0-9a-f]{10,}", s) else "abcdefghijklmnopqrstuvwxyz"
+    pick = lambda c: r.choice("0123456789") if c.isdigit() else r.choice(small) if c.islower() else r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") if c.isupper() else c
+    return "".join(pick(c) if c.isascii() else c for c in s)
+
+
+def _word(r: random.Random) -> str:
+    return "".join(r.choice("bcdfghlmnprstvw") + r.choice("aeiou") + r.choice(["", "", "n", "r", "s"]) for _ in range(r.randint(1, 4)))
+
+
+def varied(r: random.Random, line: str, first: bool) -> list[tuple[str, str]]:
+    """(word, label) of a line: as it stands if first, else with other values, and other words away from its spans."""
+    text, marks = "", []
+    for said, kind, kept, _ in parsed(line):
+        if kind == "email" and not first:
+            said = re.sub(r"[A-Za-z]+(?:[._][A-Za-z]+)*", lambda m: m[0] if m[0].lower() in ("at", "dot", "com", "org", "net", "uk", "de", "fr", "es") else _word(r), said)
+        elif not first:
+            said = _other(r, said) if kind else re.sub(r"[0-9]", lambda m: r.choice("0123456789") if m[0] == "0" else r.choice("123456789"), said)
+        if kind:
+            marks.append((len(text), len(text) + len(kept) + len(said), kind))
+        text += kept + said
+    words = [(m.start(), m.end()) for m in TOKEN.finditer(text)]
+    labels, seen = [], None
+    for a, e in words:
+        hit = next((k for k in marks if k[0] < e and a < k[1]), None)
+        labels.append("O" if hit is None else hit[2] + "+" * (hit is seen))
+        seen = hit
+    out = []
+    for i, ((a, e), label) in enumerate(zip(words, labels)):
+        w, near = text[a:e], any(x != "O" for x in labels[max(0, i - 2) : i + 3])
+        if label == "O" and not first and w.isalpha() and w.islower() and w not in AT_DOT and r.random() < (0.15 if near else 0.5):
+            w = _word(r)
+        out.append((w, label))
+    if not first:  # running text around it
+        more = lambda: [(_word(r).capitalize() if r.random() < 0.15 else _word(r), "O") for _ in range(r.randint(0, 4))]
+        out = more() + out + more()
+    return out
+
+
+def labelled_table(copies: int = 5, seed: int = 11) -> list[list[tuple[str, str]]]:
+    """The lines of the table, each with its variants."""
+    r = random.Random(seed)
+    return [varied(r, line, k == 0) for line in LINES.strip().split("\n") for k in range(copies)]
+
+
+@cache
+def lexicon() -> tuple[frozenset[str], frozenset[str]]:
+    """(words that the table has up to three before a span or inside one, those of them directly or next but one before a secret)."""
+    near, cues = set(AT_DOT), set()
+    for line in LINES.strip().split("\n"):
+        words = varied(random.Random(0), line, True)
+        for i, (w, label) in enumerate(words):
+            if label == "O":
+                ahead = [x for _, x in words[i + 1 : i + 4]]
+                low = w.strip(EDGE + "=").lower()
+                if low.isalpha() and any(x != "O" for x in ahead):
+                    near.add(low)
+                    if len(low) > 2 and "secret" in ahead[:2]:
+                        cues.add(low)
+    usual = {w.strip(EDGE).lower() for line in LINES.strip().split("\n") if "{" not in line for w in line.split()}
+    return frozenset(near), frozenset(c for c in cues if c in SECRET_CUES or c not in usual)
+
+
+#: Words that name a secret, though they also stand in lines without any.
+SECRET_CUES = frozenset("password passwd pwd pass passwort secret token key apikey bearer".split())
 
 # ---- features
 
-LABELS = ("O", "email", "email+", "phone", "phone+", "secret")
-CUES = frozenset("phone tel telephone call mobile fax cell password passwd pwd secret key token api email mail contact".split())
-SPELT = frozenset("at dot (at) (dot) [at] [dot]".split())
 SHAPE = re.compile(r"([A-Z])[A-Z]*|([a-z])[a-z]*|([0-9])[0-9]*|([^\x00-\x7f])[^\x00-\x7f]*")
+ASSIGNED = re.compile(r"([A-Za-z][A-Za-z_-]*)([=:])(.+)")
+NUMBER_LIKE = re.compile(r"[-+(0-9)./:]+")
 
 
 def shape(word: str) -> str:
     return SHAPE.sub(lambda m: "A" if m[1] else "a" if m[2] else "9" if m[3] else "é", word)[:14]
 
 
-def features(word: str) -> list[str]:
-    """Names of the features of one word; a plain word (letters and common punctuation) has none of its own."""
-    bare = word.strip(".,;:!?\"'()[]{}")
-    low = bare.lower()
-    n = sum("0" <= c <= "9" for c in bare)
-    out = []
-    if word.lower() in SPELT or low in ("at", "dot"):
-        out.append(f"spelt={low}")
-    if low.rstrip(":=") in CUES:
-        out.append("cue")
-    secret = [f for f, yes in (
-        ("access-key", re.fullmatch(r"(AKIA|ASIA)[A-Z0-9]{16}", bare)),
-        ("assigned", re.match(r"(?i)(pass(word|wd)?|pwd|secret|token|api_?key)[=:]\S{8,}", bare)),
-        ("hex-quoted", n >= 4 and word[0] in "\"'" and re.fullmatch(r"[0-9a-f]{32,64}", bare)),
-    ) if yes]
-    if secret:
-        return out + secret
-    if n or "@" in word:
-        out += [f"shape={shape(bare)}", f"digits={min(n, 20) if n < 8 else 8 + (n > 10) + (n > 12) + (n > 19)}"]
-        if re.fullmatch(r"\(?[2-9][0-9]{2}\)?", word.rstrip(",.")):
-            out.append("area")
-        if re.fullmatch(r"[0-9]{3}[-.][0-9]{4}", bare):
-            out.append("local")
-        if re.fullmatch(r"\(?[2-9][0-9]{2}\)?[-.][0-9]{3}[-.][0-9]{4}", bare):
-            out.append("national")
+def composition(s: str) -> list[str]:
+    """Length, kinds of characters, and how often the kind changes."""
+    n, digits = len(s), sum("0" <= c <= "9" for c in s)
+    kinds = "".join(k for k, yes in (("a", any("a" <= c <= "z" for c in s)), ("A", any("A" <= c <= "Z" for c in s)), ("9", digits)) if yes)
+    size = next(x for x in (3, 5, 7, 9, 12, 15, 19, 23, 31, 47, 1 << 30) if n <= x)
+    turns = len(SHAPE.findall(s))
+    out = [f"size={size}", f"kinds={kinds}", f"size={size},kinds={kinds}", f"turns={min(turns, 9)}"]
+    if re.fullmatch(r"[0-9a-fA-F]+", s) and n >= 8 and digits and digits < n:
+        out += ["hex", f"hex,size={size}"]
     return out
 
 
+@lru_cache(1 << 16)
+def features(word: str) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """Names of a word's own features and of those its neighbours see; plain words outside the lexicon have none."""
+    bare = word.strip(EDGE)
+    low = bare.lower()
+    known = low if low in lexicon()[0] else word.lower() if word.lower() in AT_DOT else low.rstrip("=") if low.rstrip("=") in lexicon()[0] else None
+    said = [f"w={known}"] if known else []
+    if known and word[-1:] in ":=":
+        said.append("w:")
+    if bare.isalpha() and not (len(bare) >= 16 and bare.isupper()):
+        return tuple(said), tuple(said)
+    own, near = list(said), list(said)
+    kind = f"shape={shape(bare)}"
+    own += [kind, f"whole={shape(word)}", *composition(bare)]
+    near.append(kind)
+    if NUMBER_LIKE.fullmatch(word.strip(",;!?\"'")):
+        runs = re.sub(r"[0-9]+", lambda m: str(min(len(m[0]), 9)), word.strip(",;!?\"'."))
+        own += [f"runs={runs}", f"digits={min(sum(c.isdigit() for c in word), 16)}"]
+        near.append(f"runs={runs}")
+    elif len(bare) >= 8 and not low.startswith("http"):
+        own += [f"pre={low[:4]}", f"pre={low[:3]}"]
+    m = ASSIGNED.fullmatch(bare)
+    if m:
+        own += [f"key={m[1].lower()}", "assigned" + m[2]]
+        if any(c in m[1].lower() for c in SECRET_CUES):
+            own.append("key-cue")
+        own += [f"v:{x}" for x in composition(m[3].strip(EDGE))]
+    if word[:1] in "\"'" or word[-1:] in "\"'":
+        own.append("quoted")
+    for mark in ("at", "dot"):
+        if f"({mark})" in low or f"[{mark}]" in low:
+            own.append(f"inner-{mark}")
+    return tuple(own), tuple(near)
+
+
+REACH = (-3, -2, -1, 1, 2, 3)
+
+
 def context(words: list[str]) -> list[list[str]]:
-    own = [features(w) for w in words]
-    out = []
-    for i, f in enumerate(own):
-        x = list(f)
-        if i and ("cue" in own[i - 1] or (i > 1 and "cue" in own[i - 2] and words[i - 1].lower() in ("is", "me", ":"))):
-            x += [f"cue-before:{g}" for g in f] or []
-        if i + 1 < len(own):
-            x += [f"next:{g}:{h}" for g in f for h in own[i + 1] if h in ("local", "area") or h.startswith("spelt")]
-        if any(g.startswith("spelt=dot") for g in f) or any(g.startswith("spelt=dot") for j in (i - 2, i - 1, i + 1, i + 2, i + 3) if 0 <= j < len(own) for g in own[j]):
-            if any(g.startswith("spelt=at") for j in range(max(0, i - 4), min(len(own), i + 4)) for g in own[j]):
-                x.append("spelt-near")
-                near = lambda j, k: 0 <= j < len(own) and any(g == f"spelt={k}" for g in own[j])
-                x += [f"spelt-place={p}" for p, yes in (("local", near(i + 1, "at") and near(i + 3, "dot")), ("at", near(i, "at") and near(i + 2, "dot")), ("host", near(i - 1, "at") and near(i + 1, "dot")), ("dot", near(i, "dot") and near(i - 2, "at")), ("top", near(i - 1, "dot") and near(i - 3, "at"))) if yes]
-        out.append(x)
-    return out
+    each = [features(w) for w in words]
+    n = len(words)
+    return [[*own, *(f"{d:+d}:{f}" for d in REACH if 0 <= i + d < n for f in each[i + d][1])] for i, (own, _) in enumerate(each)]
 
 
-def labelled_table(n: int = 700, seed: int = 11) -> list[list[tuple[str, str]]]:
-    """n lines of (word, label), written by rule: running words, personal data among them, and numbers that are none."""
-    r = random.Random(seed)
-    word = lambda: "".join(r.choice("bcdfglmnprst") + r.choice("aeiou") for _ in range(r.randint(1, 4)))
-    num = lambda k: "".join(r.choice("0123456789") for _ in range(k))
-    area = lambda: r.choice("23456789") + num(2)
-    text = lambda: [(w.capitalize() if r.random() < 0.15 else w, "O") for w in [*(word() for _ in range(r.randint(1, 5))), *([r.choice(["at", "dot", "the", "call", "key"])] if r.random() < 0.25 else [])]]
-    hexes = lambda k: "".join(r.choice("0123456789abcdef") for _ in range(k))
-    cue = lambda *c: [(r.choice(c), "O")] if r.random() < 0.5 else []
-    made = [
-        lambda: cue("call", "phone", "Tel:") + [(f"({area()})", "phone"), (f"{num(3)}-{num(4)}", "phone+")],
-        lambda: cue("call", "phone:", "fax") + [(f"{area()}-{num(3)}-{num(4)}", "phone")],
-        lambda: cue("call", "mobile") + [(f"({area()})-{num(3)}-{num(4)}" if r.random() < 0.3 else f"{area()}.{num(3)}.{num(4)}", "phone")],
-        lambda: cue("mail", "contact") + [(word(), "email"), (r.choice(["at", "(at)", "[at]"]), "email+"), (word(), "email+"), (r.choice(["dot", "(dot)", "[dot]"]), "email+"), (r.choice(["com", "org", "net"]), "email+")],
-        lambda: [("AKIA" + "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16)), "secret")],
-        lambda: [(r.choice(["password=", "passwd=", "token:", "secret="]) + hexes(r.randint(10, 24)), "secret")],
-        lambda: cue("key", "token", "=") + [(f'"{hexes(40)}"', "secret")],
-        lambda: [(r.choice([f"{num(1)}.{num(1)}.", f"{num(1)}.{num(1)}", num(1) + ".", num(2), num(4), num(3), f"({num(4)})", f"{num(1)},{num(3)}", f"{num(2)}:{num(2)}", f"{num(2)}-{num(2)}", f"{num(4)}-{num(2)}-{num(2)}", f"{num(2)}%", f"v{num(1)}.{num(2)}", num(16), f"{area()}", f"{num(3)}-{num(3)}"]), "O")],
-        lambda: [(f"{num(2)}.{num(3)}.{num(2)}.{num(1)}", "O")],
-        lambda: [("+1", "O"), (f"({area()})", "phone"), (f"{num(3)}-{num(4)}", "phone+")],
-        lambda: [(f"{word()}@{word()}.com", "O")],
-        lambda: [(hexes(r.choice([6, 8, 12])), "O")],
-    ]
-    return [text() + [x for _ in range(r.choice((1, 1, 2, 3))) for x in r.choice(made)() + (text() if r.random() < 0.6 else [])] + text() for _ in range(n)]
+# ---- where to look
+
+TRIGGERS = (re.compile(r"[0-9@=]").search, re.compile(r"(?i)\b(?:dot|password|passwd|pwd|pass|passwort|secret|token|key|apikey|bearer)\b").search, re.compile(r"-----|[A-Z]{16}").search)
+
+
+def trigger_lines(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the lines that may hold a signal."""
+    out = set()
+    for search in TRIGGERS:
+        at = 0
+        while m := search(text, at):
+            at = text.find("\n", m.start())
+            at = len(text) if at < 0 else at
+            out.add((text.rfind("\n", 0, m.start()) + 1, at))
+    return sorted(out)
+
+
+@lru_cache(1 << 16)
+def signal(word: str) -> bool:
+    bare = word.strip(EDGE)
+    if bare.isalpha():
+        low = bare.lower()
+        return low == "dot" or low in lexicon()[1] or (len(bare) >= 16 and bare.isupper())
+    return any(c in "0123456789@=" for c in word) or word.startswith("-----") or any(x in word.lower() for x in ("(at)", "[at]", "(dot)", "[dot]"))
+
+
+AROUND, LONGEST, MARGIN = 8, 200, 20
+
+
+def windows(words: list[str]) -> list[tuple[int, int, int, int]]:
+    """(first, end, from, to): runs of words within AROUND of a signal; spans that begin in from..to count. Long runs are cut, with margins."""
+    runs: list[list[int]] = []
+    for i, w in enumerate(words):
+        if signal(w):
+            a, e = max(0, i - AROUND), min(len(words), i + AROUND + 1)
+            if runs and a <= runs[-1][1]:
+                runs[-1][1] = e
+            else:
+                runs.append([a, e])
+    return [(max(a, k - MARGIN), min(e, k + LONGEST + MARGIN), k, min(e, k + LONGEST)) for a, e in runs for k in range(a, e, LONGEST)]
 
 
 # ---- the field
 
 
 class Field:
-    def __init__(self, lines: list[list[tuple[str, str]]], rounds: int = 180, l2: float = 1e-4, rate: float = 0.2):
+    def __init__(self, lines: list[list[tuple[str, str]]], rounds: int = 110, l2: float = 1e-4, rate: float = 0.2):
         feats = [context([w for w, _ in x]) for x in lines]
-        self.index = {f: i + 1 for i, f in enumerate(sorted({f for x in feats for w in x for f in w}))}  # 0 is the bias
+        often = Counter(f for x in feats for w in x for f in w)
+        self.index = {f: i + 1 for i, f in enumerate(sorted(f for f, c in often.items() if c > 2))}  # 0 is the bias
         k, n = len(LABELS), max(map(len, lines))
         x, mask = self.matrix(feats, n)
         y = np.zeros((len(lines), n), np.int64)
@@ -272,38 +373,63 @@ def field() -> Field:
     return Field(labelled_table())
 
 
-EDGE = ".,;:!?\"'([{)]}"
+def clear_of(taken: list[tuple[int, int]]) -> Callable[[int, int], bool]:
+    """Whether a span touches none of those taken, by binary search."""
+    ends: list[list[int]] = []
+    for a, e in sorted(taken):
+        if ends and a <= ends[-1][1]:
+            ends[-1][1] = max(ends[-1][1], e)
+        else:
+            ends.append([a, e])
+    starts = [a for a, _ in ends]
+
+    def clear(a: int, e: int) -> bool:
+        i = bisect_left(starts, e)
+        return not (i and ends[i - 1][1] > a)
+
+    return clear
+
+
+def trimmed(text: str, kind: str, s: int, e: int) -> tuple[int, int]:
+    """The span without punctuation at its ends; of an assigned secret only the value."""
+    if kind == "secret":
+        while e > s and text[e - 1] in EDGE:
+            e -= 1
+        m = ASSIGNED.match(text, s, e)
+        if m and not text.startswith("-----", s):
+            s = m.start(3)
+    while s < e and text[s] in EDGE and not (kind == "phone" and text[s] == "(") and not (kind == "email" and text.startswith(("(at)", "[at]"), s)):
+        s += 1
+    while s < e and text[e - 1] in EDGE:
+        e -= 1
+    return s, e
 
 
 def field_spans(model: Field, texts: list[str], taken: list[list[tuple[int, int]]]) -> list[list[tuple[str, int, int]]]:
-    """(kind, start, end) that the field adds to each text, clear of the spans already taken."""
-    lines, where = [], []
+    """(kind, start, end) that the field adds to each text, in order, clear of the spans already taken and of each other."""
+    runs, where = [], []
     for i, t in enumerate(texts):
         for start, end in trigger_lines(t):
-            words = [w.span() for w in TOKEN.finditer(t, start, end)]
-            for a in range(0, len(words), 200):  # long lines are decoded in runs that overlap by 20 words
-                part = words[max(0, a - 20) : a + 200]
-                lines.append([t[s:e] for s, e in part])
-                where.append((i, part))
+            spans = [w.span() for w in TOKEN.finditer(t, start, end)]
+            words = [t[a:e] for a, e in spans]
+            for a, e, first, last in windows(words):
+                runs.append(words[a:e])
+                where.append((i, spans[a:e], first - a, last - a))
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-    live = sorted(range(len(lines)), key=lambda j: len(lines[j]))
+    clear = [clear_of(x) if x else None for x in taken]
+    live = sorted(range(len(runs)), key=lambda j: len(runs[j]))
     for a in range(0, len(live), 512):
         part = live[a : a + 512]
-        for j, labels in zip(part, model.decode([lines[j] for j in part])):
-            i, words = where[j]
+        for j, labels in zip(part, model.decode([runs[j] for j in part])):
+            i, words, first, last = where[j]
             k = 0
             while k < len(labels):
-                kind = LABELS[labels[k]].rstrip("+")
-                e = k + 1
+                kind, e = LABELS[labels[k]].rstrip("+"), k + 1
                 if kind != "O":
                     while e < len(labels) and LABELS[labels[e]] == kind + "+":
                         e += 1
-                    s, t = words[k][0], words[e - 1][1]
-                    while s < t and texts[i][s] in EDGE and not (kind == "phone" and texts[i][s] == "("):
-                        s += 1
-                    while s < t and texts[i][t - 1] in EDGE:
-                        t -= 1
-                    if s < t and any(f(texts[i], s, t) for f in TRIGGERS) and not any(s < y and x < t for x, y in taken[i]):
+                    s, t = trimmed(texts[i], kind, words[k][0], words[e - 1][1])
+                    if first <= k < last and s < t and (clear[i] is None or clear[i](s, t)):
                         out[i].append((kind, s, t))
                 k = e
     return [sorted(set(x), key=lambda v: v[1]) for x in out]
@@ -314,7 +440,7 @@ def listed(spans: dict[str, list[tuple[int, int]]], kinds: tuple[str, ...]) -> s
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id_col, n_email, n_ip, n_card, n_phone (by pattern), base_sha256, spans, n_added.
+    """One row per input row: id_col, n_email, n_ip, n_card, n_phone (by pattern), base_sha256, spans, n_added (by the field), n_spans (all).
 
     spans lists kind:start:end in code points, the end exclusive, by kind (email, ip, card, phone, then secret) and start, patterns'
     and field's together. A null text is empty; an empty text has no spans. Rows that repeat are answered each; other columns aren't
@@ -336,14 +462,15 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                 said.append(listed(every, KINDS + MORE_KINDS))
             cols = [pa.array([len(b[k]) for b in base], pa.int64()) for k in KINDS]
             sums = pa.array([sha256(listed(b, KINDS).encode()).hexdigest() for b in base])
-            yield pa.RecordBatch.from_arrays([rows.column(0), *cols, sums, pa.array(said, pa.string()), pa.array([len(m) for m in more], pa.int64())], ["id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added"])
+            yield pa.RecordBatch.from_arrays([rows.column(0), *cols, sums, pa.array(said, pa.string()), pa.array([len(m) for m in more], pa.int64()), pa.array([len(m) + sum(map(len, b.values())) for m, b in zip(more, base)], pa.int64())], ["id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added", "n_spans"])
 
-    out = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, "id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
+    out = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, "id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, n_spans long")
     return out.withColumnRenamed("id", id_col)
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, text) with every span replaced by its kind in square brackets."""
+    """(id_col, text) with every span replaced by its kind in square brackets. A null text becomes an empty one; null ids stay null; rows that
+    repeat are answered each; an empty table gives an empty result."""
 
     model = field()
 

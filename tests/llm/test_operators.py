@@ -252,16 +252,6 @@ def test_pii(spark, docs):
     assert sum(r["n_added"] for r in pii.find(docs).collect()) == 0
 
 
-def test_pii_field_on_held_out_lines():
-    from eventweir.llm import pii
-
-    lines = pii.labelled_table(300, seed=99)
-    got = pii.field().decode([[w for w, _ in x] for x in lines])
-    right = sum(pii.LABELS[g] == t for d, x in zip(got, lines) for g, (_, t) in zip(d, x))
-    assert right / sum(map(len, lines)) > 0.99
-    assert pii.field().decode([]) == []
-
-
 def test_language_id(spark, docs):
     from eventweir.llm.language_id import identify_documents, identify_pages, keep_identified
 
