@@ -13,9 +13,11 @@ _SCRATCH: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where it is unset (tests, one machine) one of our own is made and set."""
+    """The folder named by spark.checkpoint.dir; where it is unset one machine makes and sets its own, and a cluster has to be told."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         found = "file://" + tempfile.mkdtemp(prefix="eventweir-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

@@ -209,9 +209,10 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while True:
         both = state.unionAll(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        low = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")  # so that a star with many links can be split in the join
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = materialise(large, "links")
+        low = materialise(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(low.select("u", F.col("m").alias("v")))
         small = small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
         state = materialise(small, "links")
@@ -260,7 +261,8 @@ def first_of_each(rows: DataFrame, rooted: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, width: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text", most: int = 1024) -> DataFrame:
-    """docs with exactly one row of each component: that of the smallest id, null ids last."""
+    """docs with exactly one row of each component: that of the smallest id, null ids last; of rows with that id the one with the smallest hash of its
+    columns. Null and empty texts are one component; of rows that repeat one stays; an empty table stays empty; extra columns are kept."""
     rows = row_keys(docs)
     prints = materialise(fingerprints(rows, width, id_col, text_col, ROW), "fingerprints")
     return first_of_each(rows, prints.join(fingerprint_components(prints, distance, most), "fp"))
