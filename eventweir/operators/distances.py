@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,20 +59,53 @@ def burstiness(events: DataFrame) -> DataFrame:
     return events.select("population").distinct().join(found, "population", "left").select("population", F.round(F.coalesce("v", F.lit(0.0)), 6).alias("burstiness"))
 
 
+def curve_distances(values: DataFrame, real: str, others: tuple[str, ...]) -> DataFrame:
+    """(metric, population, ks, wasserstein) of values (metric, population, x): each other population against the real one, all metrics and
+    populations in one pass over the distinct points. Points of a third population don't change a distance. An empty side counts as no distance."""
+    every = [real, *others]
+    g = values.groupBy("metric", "x").agg(*[F.count_if(F.col("population") == p).alias(f"n{i}") for i, p in enumerate(every)])
+    span = g.groupBy("metric").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), *[F.sum(f"n{i}").alias(f"t{i}") for i in range(len(every))])
+    g = g.join(F.broadcast(span), "metric")  # one row for each metric
+    g = g.withColumn("k", F.when(F.col("hi") > F.col("lo"), F.floor(256 * (F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")))).otherwise(0))
+    bins = g.groupBy("metric", "k").agg(F.min("x").alias("first"), *[F.sum(f"n{i}").alias(f"s{i}") for i in range(len(every))])
+    by_bin = Window.partitionBy("metric").orderBy("k")  # at most 257 rows for each metric
+    before = by_bin.rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    bins = bins.select("metric", "k", F.lead("first").over(by_bin).alias("next"), *[F.coalesce(F.sum(f"s{i}").over(before), zero).alias(f"p{i}") for i in range(len(every))])
+    own = Window.partitionBy("metric", "k").orderBy("x")
+    share = [((F.col(f"p{i}") + F.sum(f"n{i}").over(own)).cast("double") / F.nullif(F.col(f"t{i}"), zero)).alias(f"f{i}") for i in range(len(every))]
+    p = g.join(F.broadcast(bins), ["metric", "k"]).select("metric", (F.coalesce(F.lead("x").over(own), "next") - F.col("x")).alias("dx"), *share)
+    r = lambda c: F.round(F.coalesce(c, F.lit(0.0)), 6)
+    gap = [F.abs(F.col(f"f{i + 1}") - F.col("f0")) for i in range(len(others))]
+    found = [F.struct(F.lit(o).alias("population"), r(F.max(gap[i])).alias("ks"), r(F.sum(gap[i] * F.col("dx"))).alias("wasserstein")) for i, o in enumerate(others)]
+    return p.groupBy("metric").agg(F.array(*found).alias("d")).select("metric", F.explode("d").alias("d")).select("metric", "d.*")
+
+
+def frequency_distances(values: DataFrame, real: str, others: tuple[str, ...]) -> DataFrame:
+    """(metric, population, l1) of values (metric, population, key): L1 distances of normalised frequencies, all in one pass."""
+    every = [real, *others]
+    g = values.groupBy("metric", "key").agg(*[F.count_if(F.col("population") == p).alias(f"n{i}") for i, p in enumerate(every)])
+    total = g.groupBy("metric").agg(*[F.nullif(F.sum(f"n{i}"), F.lit(0).cast("long")).alias(f"t{i}") for i in range(len(every))])
+    g = g.join(F.broadcast(total), "metric")  # one row for each metric
+    part = [F.coalesce(F.col(f"n{i}").cast("double") / F.col(f"t{i}"), F.lit(0.0)) for i in range(len(every))]
+    found = [F.struct(F.lit(o).alias("population"), F.round(F.sum(F.abs(part[i + 1] - part[0])), 6).alias("l1")) for i, o in enumerate(others)]
+    return g.groupBy("metric").agg(F.array(*found).alias("d")).select("metric", F.explode("d").alias("d")).select("metric", "d.*")
+
+
 def comparison_report(events: DataFrame, real: str = "real", others: tuple[str, ...] = ("generic", "calibrated")) -> DataFrame:
-    """(metric, comparison, value) rows of every distance of each other population from the real one."""
+    """(metric, comparison, value) rows of every distance of each other population from the real one; 0 where there is nothing to compare."""
     pairs = summaries(events)
-    gaps = pairs.where("ab > 0").select("population", seconds(F.col("ab")).alias("x"))
-    sizes = events.groupBy("population", "stream_id").agg(F.count(F.lit(1)).cast("double").alias("x")).select("population", "x")
-    out = []
-    for other in others:
-        name = F.lit(f"{other}_vs_{real}")
-        for metric, values in (("inter_event_time", gaps), ("sequence_length", sizes)):
-            d = ks_wasserstein(values, other, real)
-            out += [d.select(F.lit(f"{metric}_{k}").alias("metric"), name.alias("comparison"), F.col(k).alias("value")) for k in ("ks", "wasserstein")]
-        out.append(l1(events, ["event_type"], other, real).select(F.lit("event_type_frequency_l1").alias("metric"), name.alias("comparison"), F.col("l1").alias("value")))
-        out.append(l1(pairs.where("b is not null"), ["a", "b"], other, real).select(F.lit("transition_frequency_l1").alias("metric"), name.alias("comparison"), F.col("l1").alias("value")))
-    return reduce(DataFrame.unionAll, out)
+    gaps = pairs.where("ab > 0").select(F.lit("inter_event_time").alias("metric"), "population", seconds(F.col("ab")).alias("x"))
+    sizes = events.groupBy("population", "stream_id").agg(F.count(F.lit(1)).cast("double").alias("x")).select(F.lit("sequence_length").alias("metric"), "population", "x")
+    kinds = pairs.select(F.lit("event_type_frequency").alias("metric"), "population", F.array("a").alias("key"))
+    steps = pairs.where("b is not null").select(F.lit("transition_frequency").alias("metric"), "population", F.array("a", "b").alias("key"))
+    curves, freqs = curve_distances(gaps.unionAll(sizes), real, others), frequency_distances(kinds.unionAll(steps), real, others)
+    said = lambda c: F.struct(F.concat("metric", F.lit(f"_{c}")).alias("metric"), "population", F.col(c).alias("value"))
+    found = curves.select(F.explode(F.array(said("ks"), said("wasserstein"))).alias("r")).unionAll(freqs.select(said("l1").alias("r"))).select("r.*")
+    names = ["inter_event_time_ks", "inter_event_time_wasserstein", "sequence_length_ks", "sequence_length_wasserstein", "event_type_frequency_l1", "transition_frequency_l1"]
+    wanted = events.sparkSession.createDataFrame([(m, o) for m in names for o in others], "metric string, population string")
+    out = F.broadcast(wanted).join(found, ["metric", "population"], "left")
+    return out.select("metric", F.concat("population", F.lit(f"_vs_{real}")).alias("comparison"), F.coalesce("value", F.lit(0.0)).alias("value"))
 
 
 def calibration_effect(report: DataFrame) -> DataFrame:
