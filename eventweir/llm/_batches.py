@@ -40,7 +40,7 @@ class Memo(dict):
     It holds about ``most_bytes`` at most and then starts anew. Words of more than ``LONG`` bytes are kept for their own batch only.
     """
 
-    ENTRY = 200  # about what an entry takes beside its two byte strings
+    ENTRY = 130  # about what an entry takes beside the bytes of its two strings
     LONG = 256
 
     def __init__(self, compute: Callable[[list], list[bytes]], most_bytes: int):

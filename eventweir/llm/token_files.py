@@ -12,6 +12,8 @@ follow ascending document ids; the rank table lies beside them.
 from __future__ import annotations
 
 import json
+import re
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
@@ -27,7 +29,7 @@ from ._shared import scratch_path
 
 #: What each of a worker's two memos, of words and of their pieces, may take; frequent words come back after one was emptied, so only
 #: time depends on it.
-MEMO_BYTES = 128 << 20
+MEMO_BYTES = 192 << 20
 BLOCK_IDS = 1 << 19
 
 LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
@@ -69,9 +71,10 @@ class WordEncoder:
     """Ids of white-space-free words as little-endian bytes, through the tokenizers library.
 
     No rule of the vocabulary looks across white space, so the ids of a text are those of its words in order. ASCII words are cut by
-    the file's own pattern, and each distinct lower-cased piece goes to the library's model once. All others go through the library
-    whole, whose tables of characters needn't be those of any other package; so do words that might hold an added token, and all words
-    if the file's rules aren't the ones known here.
+    the file's own pattern, and each distinct lower-cased piece goes to the library's model once. So do words of letters of which the
+    library itself, asked about each when the file is loaded, says that they are part of a word and lower-cased as here. All others go through
+    the library whole, whose tables of characters needn't be those of any other package; so do words that might hold an added
+    token, and all words if the file's rules aren't the ones known here.
     """
 
     # The rules under which the short way holds.
@@ -89,10 +92,25 @@ class WordEncoder:
         self.added = sorted({t["content"][:2].encode() for t in spec["added_tokens"]})
         self.symbols = byte_symbols()
         self.width, self.code = ("<u2", "H") if self.tok.get_vocab_size() + 1 < 1 << 16 else ("<u4", "I")
+        self.letters = re.compile(f"[A-Za-z{re.escape(''.join(self.plain_letters()))}]+[.,]?").fullmatch if self.known else None
         self.parts = Memo(self.pieces_of, MEMO_BYTES)
 
+    def plain_letters(self) -> list[str]:
+        """Letters beyond ASCII (Latin, Greek, Cyrillic) that the library keeps as they are but for their case, within a word: no mark among
+        them composes with a neighbour."""
+        out = []
+        for c in map(chr, range(0xC0, 0x530)):
+            low = c.lower()
+            if not c.isalpha() or len(low) != 1 or unicodedata.normalize("NFC", c) != c or unicodedata.combining(c) or c in "\u03a3\u03c3\u03c2":
+                continue
+            said = self.tok.normalizer.normalize_str(f"a{c}b")
+            cut = self.tok.pre_tokenizer.pre_tokenize_str(said)
+            if said == f"a{low}b" and len(cut) == 1 and cut[0][0] == said.encode().decode("latin-1").translate(self.symbols):
+                out.append(c)
+        return out
+
     def split(self, w: str) -> list[str]:
-        """The pieces of an ASCII word; letters alone, or with a full stop or comma behind them, needn't go through the pattern."""
+        """The pieces of a word of ASCII or plain letters; letters alone, or with a full stop or comma behind them, needn't go through the pattern."""
         w = w.lower()
         if w.isalpha():
             return [w]
@@ -102,21 +120,24 @@ class WordEncoder:
 
     def pieces_of(self, parts: list[str]) -> list[bytes]:
         tokenize, symbols, code = self.tok.model.tokenize, self.symbols, self.code
-        return [array(code, [t.id for t in tokenize(p.translate(symbols))]).tobytes() for p in parts]
+        return [array(code, [t.id for t in tokenize(p.encode().decode("latin-1").translate(symbols))]).tobytes() for p in parts]
 
     def whole(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.width).tobytes() for e in self.tok.encode_batch(words, add_special_tokens=False)]
+        return [np.array(self.tok.encode(w, add_special_tokens=False).ids, self.width).tobytes() for w in words]
 
     def __call__(self, words: list[bytes]) -> list[bytes]:
         if not self.known:
             return self.whole([w.decode() for w in words])
-        added = self.added
-        easy = [w.isascii() and not any([a in w for a in added]) for w in words]
-        cut = [self.split(w.decode()) for w, e in zip(words, easy) if e]
+        said, letters, every = [w.decode() for w in words], self.letters, b" ".join(words)
+        odd = [a.decode() for a in self.added if a in every]
+        easy = [w.isascii() or letters(w) is not None for w in said]
+        if odd:
+            easy = [e and not any([a in w for a in odd]) for w, e in zip(said, easy)]
+        cut = [self.split(w) for w, e in zip(said, easy) if e]
         self.parts.learn(chain.from_iterable(cut))
         ids = self.parts
         short = iter([ids[x[0]] if len(x) == 1 else b"".join([ids[p] for p in x]) for x in cut])
-        rest = iter(self.whole([w.decode() for w, e in zip(words, easy) if not e]))
+        rest = iter(self.whole([w for w, e in zip(said, easy) if not e]))
         return [next(short) if e else next(rest) for e in easy]
 
 
