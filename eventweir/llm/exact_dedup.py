@@ -86,7 +86,7 @@ class Runs:
         return self.rows.join(self.down(levels, groups), ["_run", *KEY], "left")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text: Column | str = "text", keep: str = "largest", fan_in: int = 8, broadcast_rows: int = 1 << 19) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text: Column | str = "text", keep: str = "largest", fan_in: int = 8, broadcast_rows: int = 1 << 18) -> DataFrame:
     """One row per input row: id_col, keep_id, group_size, kept, text_sha256.
 
     Of rows with equal text the one with the largest (keep="largest") or smallest identifier stays; of repeated rows with the
@@ -104,7 +104,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text: Column | str = "t
     )
 
 
-def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", keep: str = "largest", fan_in: int = 8, broadcast_rows: int = 1 << 19) -> DataFrame:
+def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", keep: str = "largest", fan_in: int = 8, broadcast_rows: int = 1 << 18) -> DataFrame:
     """docs without the copies that exact_dedup drops, all columns as they were.
 
     Of rows with equal text and identifier that differ elsewhere the one with the smallest hash of its columns stays, of rows equal in
