@@ -33,7 +33,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents connected by five-word Jaccard similarities of 0.8 or more the row with the smallest id stays, null ids last. Texts without words
-    are alike."""
+    are alike. Candidates come from SimHash fingerprints by pigeonring chains; each is verified on its shingles."""
     return one_of_alike(docs, width=5)
 
 
