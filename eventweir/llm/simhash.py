@@ -253,11 +253,24 @@ def row_keys(docs: DataFrame) -> DataFrame:
     return docs.withColumns({name: F.xxhash64(F.lit(i), *cols, *[c.isNull() for c in cols]) for i, name in enumerate(ROW)})
 
 
-def first_of_each(rows: DataFrame, rooted: DataFrame) -> DataFrame:
-    """rows, without their keys, of which exactly one stays for each root: that of the smallest id, nulls last. rooted: (doc_id, keys, root)."""
-    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *ROW)).alias("s")).select(*[F.col(f"s.{k}") for k in ROW])
-    kept = rows.join(materialise(first, "first"), list(ROW), "left_semi")
-    return kept.dropDuplicates(list(ROW)).drop(*ROW)
+def first_of_each(rows: DataFrame, rooted: DataFrame, broadcast_rows: int = 1 << 20) -> DataFrame:
+    """rows, without their keys, of which exactly one stays for each root: that of the smallest id, nulls last. rooted: (doc_id, keys, root).
+    Whole rows are shuffled only if the counted rows that go are too many to broadcast; of rows that stay only those that repeat are."""
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *ROW)
+    shared = materialise(rooted.groupBy("root").agg(F.min(order).alias("s"), F.count(F.lit(1)).alias("n")).where("n > 1").select("root", *[F.col(f"s.{k}").alias(f"{k}_first") for k in ROW]), "first")
+    stays = (F.col(ROW[0]) == F.col(f"{ROW[0]}_first")) & (F.col(ROW[1]) == F.col(f"{ROW[1]}_first"))
+    keys = materialise(rooted.join(shared, "root").groupBy(*ROW).agg(F.max(stays).alias("stays"), F.count(F.lit(1)).alias("n")).where("not stays or n > 1"), "keys")
+    goes, repeated = keys.where("not stays").select(*ROW), keys.where("stays").select(*ROW)
+
+    def small(df: DataFrame, n: int) -> DataFrame:
+        return F.broadcast(df) if n <= broadcast_rows else df
+
+    n_goes, n_repeated = goes.count(), repeated.count()
+    left = rows.join(small(goes, n_goes), list(ROW), "left_anti") if n_goes else rows
+    if n_repeated:
+        again = small(repeated, n_repeated)
+        left = left.join(again, list(ROW), "left_anti").unionByName(left.join(again, list(ROW), "left_semi").dropDuplicates(list(ROW)))
+    return left.drop(*ROW)
 
 
 def one_of_each(docs: DataFrame, width: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text", most: int = 1024) -> DataFrame:

@@ -69,3 +69,11 @@ def test_long_buckets_link_like_short_ones(spark, monkeypatch):
     monkeypatch.setattr(near_copies, "LONG", 3)
     monkeypatch.setattr(near_copies, "FILTERED", 0)
     assert sorted(x["doc_id"] for x in near_copies.one_of_alike(docs).collect()) == sorted(set(parts(rows)))
+
+
+def test_stage_returns_rows_without_shuffling_texts(spark):
+    from eventweir.llm.near_copies import one_of_alike
+
+    docs = spark.createDataFrame([(i, f"the cat sat on the mat number {i // 2} today") for i in range(12)], "doc_id long, text string")
+    out = one_of_alike(docs)
+    assert out.count() == 6 and "hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
