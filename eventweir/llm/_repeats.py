@@ -38,6 +38,8 @@ from ._shared import materialise
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
+BLOCK = 1 << 18  # values that are hashed at once
+PIECE = 1 << 18  # bytes of text that are sampled or cut at once: numpy holds about 100 times that
 TABLE = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
 
 
@@ -66,11 +68,12 @@ def prefix_sums(values: np.ndarray) -> np.ndarray:
 
 
 def rolling(values: np.ndarray, k: int) -> np.ndarray:
-    """Mixed hash of the k values from each place where k are left."""
-    if len(values) < k:
-        return np.zeros(0, U)
-    p = prefix_sums(values)
-    return mix((p[k:] - p[:-k]) * power(INVERSE, len(p) - k))
+    """Mixed hash of the k values from each place where k are left. It doesn't depend on the place, so blocks are hashed by themselves."""
+    out = np.empty(max(0, len(values) - k + 1), U)
+    for a in range(0, len(out), BLOCK):
+        p = prefix_sums(values[a : a + BLOCK + k - 1])
+        out[a : a + BLOCK] = mix((p[k:] - p[:-k]) * power(INVERSE, len(p) - k))
+    return out
 
 
 def word_spans(flat: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -198,13 +201,13 @@ def find_ranges(distinct: DataFrame, words: bool, length: int, gram: int, most:
         raise ValueError(f"0 < gram <= length < {1 << PACK} is needed, not {gram} and {length}")
 
     def sample(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, text in pieces(batches, "text", 1 << 20):
+        for rows, text in pieces(batches, "text", PIECE):
             g, row, at, least, far = sampled(*values_of(text, words), length, gram)
             own = [pa.array(column(rows, c).to_numpy()[row]) for c in TEXT]
             yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), *own, pa.array(at << 2 * PACK | least << PACK | far)], ["g", *TEXT, "p"])
 
     def contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, text in pieces(batches, "text", 1 << 20):
+        for rows, text in pieces(batches, "text", PIECE):
             found = column(rows, "_found")
             counts = np.diff(np.array(found.offsets))
             g, p = (found.flatten().field(i).to_numpy() for i in range(2))
@@ -229,25 +232,31 @@ def find_ranges(distinct: DataFrame, words: bool, length: int, gram: int, most:
     return told.groupBy(*TEXT).agg(F.collect_list(F.struct("a", "b")).alias("_ranges"))
 
 
+def whole_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by KEY as tables of whole groups, of at most BATCH rows or of one group."""
+    rest = None
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        t = t if rest is None else pa.concat_tables([rest, t])
+        k1, k2 = (t.column(c).to_numpy() for c in KEY)
+        edge, at = np.flatnonzero((k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])) + 1, 0
+        while t.num_rows - at > BATCH:
+            after = edge[np.searchsorted(edge, at, side="right") :]
+            if not len(after):  # the last group may go on
+                break
+            cut = int(after[max(0, np.searchsorted(after, at + BATCH, side="right") - 1)])
+            yield t.slice(at, cut - at)
+            at = cut
+        rest = t.slice(at)
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
 def decided(near: DataFrame, most: int, solve: Callable) -> DataFrame:
     """(_t1, _t2, a, b): ranges of starts of repeated windows, from groups (k1, k2) of at most ``most`` contexts each."""
 
     def decide(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for b in batches:
-            held.append(pa.Table.from_batches([b]))
-            size += b.num_rows
-            if size < BATCH:
-                continue
-            t = pa.concat_tables(held)
-            k1, k2 = (t.column(c).to_numpy() for c in KEY)
-            edge = np.flatnonzero((k1 != k1[-1]) | (k2 != k2[-1]))
-            cut = int(edge[-1]) + 1 if len(edge) else 0  # the last group may go on
-            if cut:
-                yield solved(t.slice(0, cut))
-            held, size = [t.slice(cut)], t.num_rows - cut
-        if held and size:
-            yield solved(pa.concat_tables(held))
+        yield from map(solved, whole_groups(batches))
 
     def solved(t: pa.Table) -> pa.RecordBatch:
         t = t.combine_chunks()
@@ -273,7 +282,7 @@ def hot_contexts(distinct: DataFrame, spots: DataFrame, hot: DataFrame, n_hot: i
         listed = np.sort(np.array([r[0] for r in hot.collect()], np.int64).view(U))
 
         def sample(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for rows, text in pieces(batches, "text", 1 << 20):
+            for rows, text in pieces(batches, "text", PIECE):
                 g, row, at, least, far = sampled(*values_of(text, words), length, gram)
                 mine = listed[np.minimum(np.searchsorted(listed, g), len(listed) - 1)] == g
                 if mine.any():
@@ -282,7 +291,7 @@ def hot_contexts(distinct: DataFrame, spots: DataFrame, hot: DataFrame, n_hot: i
         return materialise(distinct.mapInArrow(sample, SUFFIX_DDL), "hot-contexts")
 
     def joined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, text in pieces(batches, "text", 1 << 20):
+        for rows, text in pieces(batches, "text", PIECE):
             found = column(rows, "_found")
             counts = np.diff(np.array(found.offsets))
             yield whole(rows, text, np.repeat(np.arange(len(counts)), counts), *unpacked(found.flatten().to_numpy()))
@@ -407,9 +416,9 @@ def equal_windows(right: tuple, left: tuple, least: np.ndarray, far: np.ndarray,
     right and left hold both sides' order and the depths of the nodes that join neighbours. A window at offset o is a node of depth
     length - o of the right tree and one of depth o of the left tree; it is repeated where two members are below both.
     """
-    m = len(least)
-    members, los = [], []
-    for o in range(int(least.min()), int(far.max()) + 1):
+    m, first = len(least), int(least.min())
+    hit = np.zeros((m, int(far.max()) - first + 2), np.int8)  # its last column stays empty: ranges end with their member
+    for o in range(first, int(far.max()) + 1):
         live = np.flatnonzero((least <= o) & (far >= o))
         if len(live) < 2:
             continue
@@ -418,13 +427,7 @@ def equal_windows(right: tuple, left: tuple, least: np.ndarray, far: np.ndarray,
         k = key[by]
         same = k[1:] == k[:-1]
         twice = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        members.append(live[by[twice]])
-        los.append(np.full(len(members[-1]), o))
-    member = np.concatenate(members) if members else np.zeros(0, np.int64)
-    off = np.concatenate(los) if los else np.zeros(0, np.int64)
-    by = np.lexsort((off, member))
-    member, off = member[by], off[by]
-    if not len(member):
-        return member, off, off
-    at = np.flatnonzero(np.concatenate([[True], (member[1:] != member[:-1]) | (off[1:] != off[:-1] + 1)]))
-    return member[at], off[at], off[np.concatenate([at[1:] - 1, [len(off) - 1]])]
+        hit[live[by[twice]], o - first] = 1
+    step = np.diff(hit.ravel(), prepend=np.int8(0))
+    member, lo = np.divmod(np.flatnonzero(step == 1), hit.shape[1])
+    return member, lo + first, np.flatnonzero(step == -1) % hit.shape[1] + first - 1
