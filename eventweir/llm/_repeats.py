@@ -146,6 +146,20 @@ def small(df: DataFrame, rows: int, most: int) -> DataFrame:
     return F.broadcast(df) if rows <= most else df
 
 
+def fewer(df: DataFrame) -> DataFrame:
+    """df in at most eight parts for each core, or a sixteenth of the shuffle partitions if that is more.
+
+    Hadoop's local file system forks the executor for each file and folder that it makes, so hundreds of small files cost more
+    time than what is in them, and while it is forked, the executor's memory is seen twice.
+    """
+    spark = df.sparkSession
+    return df.coalesce(max(8 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 16))
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    return materialise(fewer(df), name)
+
+
 def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(_id, _t1, _t2, text): null texts are empty."""
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
@@ -159,7 +173,7 @@ def marked_texts(keyed: DataFrame, broadcast_rows: int) -> tuple[DataFrame, Data
     """
     of_id = keyed.groupBy(*TEXT, "_id").agg(F.count(F.lit(1)).alias("m")).groupBy(*TEXT)
     copies = of_id.agg(F.sum("m").alias("n"), F.min(F.struct("_id", "m")).alias("s")).where("n > 1")
-    copies = materialise(copies.select(*TEXT, F.col("s._id").alias("_rep"), F.col("s.m").alias("_m"), F.lit(True).alias("_copied")), "copied-texts")
+    copies = written(copies.select(*TEXT, F.col("s._id").alias("_rep"), F.col("s.m").alias("_m"), F.lit(True).alias("_copied")), "copied-texts")
     n, again = copies.agg(F.count(F.lit(1)), F.max("_m")).first()
     marked = keyed.join(small(copies, n, broadcast_rows), TEXT, "left") if n else keyed.withColumns({"_rep": F.col("_id"), "_m": F.lit(1).cast("long"), "_copied": F.lit(None).cast("boolean")})
     cols = [F.col("_id"), *map(F.col, TEXT), F.col("text"), F.coalesce("_copied", F.lit(False)).alias("_copied")]
@@ -218,8 +232,8 @@ def find_ranges(distinct: DataFrame, words: bool, length: int, gram: int, most:
 
     spots = distinct.mapInArrow(sample, "g long, _t1 long, _t2 long, p long")
     if keep_samples:
-        spots = materialise(spots, "sampled-suffixes")
-    shared = materialise(spots.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared-grams")
+        spots = written(spots, "sampled-suffixes")
+    shared = written(spots.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared-grams")
     hot = shared.where(F.col("n") > most).select("g")
     n_hot = hot.count()
     calm = spots.join(small(hot, n_hot, broadcast_rows), "g", "left_anti") if n_hot else spots
@@ -288,7 +302,7 @@ def hot_contexts(distinct: DataFrame, spots: DataFrame, hot: DataFrame, n_hot: i
                 if mine.any():
                     yield whole(rows, text, row[mine], at[mine], least[mine], far[mine])
 
-        return materialise(distinct.mapInArrow(sample, SUFFIX_DDL), "hot-contexts")
+        return written(distinct.mapInArrow(sample, SUFFIX_DDL), "hot-contexts")
 
     def joined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, text in pieces(batches, "text", PIECE):
@@ -297,7 +311,7 @@ def hot_contexts(distinct: DataFrame, spots: DataFrame, hot: DataFrame, n_hot: i
             yield whole(rows, text, np.repeat(np.arange(len(counts)), counts), *unpacked(found.flatten().to_numpy()))
 
     found = spots.join(hot, "g").groupBy(*TEXT).agg(F.collect_list("p").alias("_found"))
-    return materialise(distinct.join(found, TEXT).mapInArrow(joined, SUFFIX_DDL), "hot-contexts")
+    return written(distinct.join(found, TEXT).mapInArrow(joined, SUFFIX_DDL), "hot-contexts")
 
 
 def longer_prefixes(hot: DataFrame, words: bool, length: int, gram: int, most: int, solve: Callable, broadcast_rows: int) -> Iterator[DataFrame]:
@@ -343,11 +357,11 @@ def longer_prefixes(hot: DataFrame, words: bool, length: int, gram: int, most: i
     while True:
         rows = hot.mapInArrow(named, f"c1 long, c2 long, k1 long, k2 long, {SUFFIX_DDL}")
         same = rows.groupBy(*SAME).agg(F.count(F.lit(1)).alias("n"), F.min(member).alias("s"), *[F.first(k).alias(k) for k in KEY])
-        same = materialise(same.select(*SAME, *KEY, "n", "s.*"), "contexts")
+        same = written(same.select(*SAME, *KEY, "n", "s.*"), "contexts")
         twice = same.where("n > 1").select(*SAME)
         yield rows.join(small(twice, twice.count(), broadcast_rows), SAME).select(*TEXT, (at - far).alias("a"), (at - least).alias("b"))
-        groups = materialise(same.groupBy(*KEY).agg(F.count(F.lit(1)).alias("d")).where("d > 1"), "prefixes")
-        stands = materialise(same.join(small(groups, groups.count(), broadcast_rows), KEY).select(*SAME, *TEXT, "p", "d"), "stand-ins")
+        groups = written(same.groupBy(*KEY).agg(F.count(F.lit(1)).alias("d")).where("d > 1"), "prefixes")
+        stands = written(same.join(small(groups, groups.count(), broadcast_rows), KEY).select(*SAME, *TEXT, "p", "d"), "stand-ins")
         n, n_large = stands.agg(F.count(F.lit(1)), F.count_if(F.col("d") > most)).first()
         if not n:
             return
@@ -355,7 +369,7 @@ def longer_prefixes(hot: DataFrame, words: bool, length: int, gram: int, most: i
         yield decided(chosen.where(F.col("d") <= most).select(*KEY, *TEXT, "p", "context"), most, solve)
         if not n_large:
             return
-        hot = materialise(chosen.where(F.col("d") > most).select(*SUFFIX).mapInArrow(halves, SUFFIX_DDL), "hot-contexts")
+        hot = written(chosen.where(F.col("d") > most).select(*SUFFIX).mapInArrow(halves, SUFFIX_DDL), "hot-contexts")
 
 
 def covered(ranges: pa.ListArray | None, i: int, n: int, length: int) -> np.ndarray | None:
@@ -397,7 +411,7 @@ def finished(docs: DataFrame, id_col: str, text_col: str, words: bool, length: i
     ddl = ", ".join([f"_id {keyed.schema['_id'].dataType.simpleString()}", *(f"{c} {DDL[t]}" for c, t in cols)])
     # Copies are left out behind the join, not before it, so that the texts' exchange is the one that contexts came from.
     alone = distinct.join(ranges, TEXT, "left").mapInArrow(finish(False), ddl)
-    return alone.unionAll(marked.where("_copied").mapInArrow(finish(True), ddl))
+    return alone.unionAll(fewer(marked.where("_copied").mapInArrow(finish(True), ddl)))
 
 
 DDL = {pa.int64(): "long", pa.string(): "string", pa.binary(): "binary"}

@@ -74,3 +74,34 @@ def test_lengths_that_do_not_fit_are_refused(spark):
         got_words(docs, length=4096)
     with pytest.raises(ValueError):
         got_words(docs, length=7)
+
+
+def test_many_partitions_do_not_make_many_files(spark):
+    from eventweir.llm import _shared
+    from eventweir.llm.suffix_sort import remove_repeats
+
+    r = random.Random(6)
+    word = lambda: f"z{r.randrange(10**6)}"
+    common = " ".join(word() for _ in range(14))  # under 200 bytes: contexts of one prefix differ
+    parts = [" ".join(word() for _ in range(60)) for _ in range(100)]
+    rows = [(i, " ".join([parts[i % 100], common, word(), parts[i * 7 % 100], word()])) for i in range(300)]
+    rows += [(i + 300, rows[i][1]) for i in range(0, 300, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(80)
+    held = {"spark.sql.shuffle.partitions": "120", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in held}
+    at = len(_shared._SCRATCH)
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        out = remove_repeats(docs, most=20)
+        got = sorted((x["doc_id"], x["n_removed"], x["kept_sha256"]) for x in out.collect())
+        parts = out.rdd.getNumPartitions()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    most = 8 * spark.sparkContext.defaultParallelism  # the result has the parts of its exchange besides
+    files = [len(spark.read.parquet(p).inputFiles()) for p in _shared._SCRATCH[at:]]
+    assert len(files) > 4 and max(files) <= most and parts <= 120 + most
+    texts = [t.encode() for _, t in rows]
+    want = [(i, sum(gone), hexsum(bytes(x for x, y in zip(b, gone) if not y))) for (i, _), b, gone in zip(rows, texts, repeats(texts, 200))]
+    assert got == sorted(want)
